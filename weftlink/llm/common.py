@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: As many rows at most are sent to every executor; larger tables are joined by a shuffle.
 BROADCAST_ROWS = 65_536
+_own: dict[str, str] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +22,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir. Only where that is unset (a local
     test session), one is made."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or _own.get(sc.applicationId)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="weftlink-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="weftlink-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(found)
     return found.rstrip("/")
 
 

@@ -1,7 +1,7 @@
 """Queries and SQL oracles of this subpackage."""
 
-from weftlink.llm import fingerprint, mixing, simhash
+from weftlink.llm import fingerprint, mixing, pii, simhash
 
-_PARTS = (fingerprint, mixing, simhash)
+_PARTS = (fingerprint, mixing, pii, simhash)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.SQL.items()}
