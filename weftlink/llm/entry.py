@@ -1,7 +1,7 @@
 """Queries and SQL oracles of this subpackage."""
 
-from weftlink.llm import fingerprint, langid, mixing, packing, pii, simhash
+from weftlink.llm import fingerprint, langid, lmscore, mixing, packing, pii, simhash
 
-_PARTS = (fingerprint, langid, mixing, packing, pii, simhash)
+_PARTS = (fingerprint, langid, lmscore, mixing, packing, pii, simhash)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.SQL.items()}
