@@ -36,6 +36,8 @@ FEATURES, LONGEST, HELD, PARTS = 1 << 15, 3, 2, 4
 #: Follow-the-regularised-leader: rate, smoothing, penalties; passes over the sample; the part kept for calibration.
 ALPHA, BETA, L1, L2, PASSES, KEPT = 0.5, 1.0, 0.02, 0.1, 4, 5
 UND = "und"
+#: Least probability of a language for a document to be kept by recognised().
+LEAST = 0.5
 #: Characters that are hashed at a time.
 BLOCK = 1 << 16
 
@@ -182,6 +184,12 @@ def predicted(model: dict | None, spark: SparkSession) -> Column:
     return F.pandas_udf(predict, kind)("text")
 
 
+def recognised(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """docs without the rows whose text has no letter, or no language with so much probability."""
+    said = docs.withColumn("said__", predicted(train(docs), docs.sparkSession))
+    return said.where((F.col("said__.lang_pred") != UND) & (F.col("said__.score") >= least)).select(*docs.columns)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     out = docs.select("doc_id", (common.remainder(F.col("doc_id"), PARTS) == HELD).alias("held_out"), predicted(train(docs), spark).alias("p"))

@@ -102,9 +102,12 @@ def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """docs with one row of each group: that of the least doc_id (of rows with the same doc_id, one)."""
-    kept = grouped(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k__")).distinct()
-    first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k__")), "left_semi")
-    return first.dropDuplicates(["doc_id"])
+    classes = common.stored(grouped(docs, radius), "classes")
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k__"))
+    first = docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("k__")), "left_semi")
+    # the texts are grouped by doc_id only if an id repeats at all
+    again = classes.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return first.dropDuplicates(["doc_id"]) if again else first
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
