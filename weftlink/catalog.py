@@ -1,4 +1,5 @@
 """All registered queries of the library and their SQL oracles."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from weftlink.plans.queries import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
