@@ -9,7 +9,7 @@ the class + 1), the maximum-entropy solution for features of the word alone, whe
 words of the class that training hasn't seen: so the probabilities of a history sum to 1.
 
 Classes: the CLUSTERED most frequent words are clustered by the words that stand near them, over all
-training documents; any other word has a class by its last letters, so it needs no table; the end has its
+training documents; any other word has a class by its last two bytes, so it needs no table; the end has its
 own.
 
 Counts are whole: every training token is counted, in a table of the shared folder. The HEAD words are a
@@ -39,8 +39,8 @@ from weftlink.llm import common
 
 #: Words that tasks hold, those of them that are clustered, longest of them, words whose company tells, held-out remainder.
 HEAD, CLUSTERED, LONGEST, CONTEXTS, HELD, PARTS = 65_536, 8_192, 48, 128, 2, 7
-#: Classes: the end, of frequent words, of other words by their last letters, one that stands before a text.
-END, LEARNED, BY_FORM = 0, 47, 15
+#: Classes: the end, of frequent words, of other words by their last bytes, one that stands before a text.
+END, LEARNED, BY_FORM = 0, 23, 7
 START = 1 + LEARNED + BY_FORM
 CLASSES = START + 1
 #: Hashed words of the history; all features: those, pairs of classes, skipped pairs.
@@ -51,12 +51,15 @@ ROUNDS, STEP, SMOOTH, SLAB, BLOCK = 3, 0.5, 4.0, 512, 1 << 15
 #: Words that a task counts before it hands them on.
 COUNTED = 200_000
 _WORDS = re.compile(common.WORD)
-_UPPER = {c: c + 32 for c in range(65, 91)}
+_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 def words(text: str | None) -> list[str]:
     """Words with A-Z in lower case; the end isn't among them."""
-    return _WORDS.findall((text or "").translate(_UPPER))
+    if not text:
+        return []
+    low = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
+    return _WORDS.findall(low)
 
 
 def word_key(word: str) -> int:
@@ -65,7 +68,7 @@ def word_key(word: str) -> int:
 
 
 def form_class(word: str) -> int:
-    return 1 + LEARNED + zlib.crc32(word[-2:].encode("utf-8", "surrogatepass")) % BY_FORM
+    return 1 + LEARNED + zlib.crc32(word.encode("utf-8", "surrogatepass")[-2:]) % BY_FORM
 
 
 class Lexicon:
@@ -85,11 +88,15 @@ class Lexicon:
         if len(self.known) > len(self.head) + COUNTED:
             self.clear()
         known = self.known
-        for w in set(tokens).difference(known):
-            i = known[w] = len(known)
-            if i >= len(self.class_of):
-                self.class_of, self.slot_of = np.resize(self.class_of, 2 * i), np.resize(self.slot_of, 2 * i)
-            self.class_of[i], self.slot_of[i] = form_class(w), _slot(w)
+        new = set(tokens).difference(known)
+        if new:
+            first, last = len(known), len(known) + len(new)
+            if last > len(self.class_of):
+                self.class_of, self.slot_of = np.resize(self.class_of, 2 * last), np.resize(self.slot_of, 2 * last)
+            raw = [w.encode("utf-8", "surrogatepass") for w in new]
+            self.class_of[first:last] = [1 + LEARNED + zlib.crc32(r[-2:]) % BY_FORM for r in raw]
+            self.slot_of[first:last] = [zlib.crc32(r) % HASHED for r in raw]
+            known.update(zip(new, range(first, last), strict=True))
         return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
 
 
@@ -152,20 +159,25 @@ def clustered(docs: DataFrame, head: list[str]) -> np.ndarray:
     sent = docs.sparkSession.sparkContext.broadcast(head)
 
     def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = {w: i for i, w in enumerate(sent.value)}
-        seen = np.zeros(len(number) * width, np.int32)
+        get = {w: i for i, w in enumerate(sent.value)}.get
+        seen = np.zeros(len(sent.value) * width, np.int32)
+
+        def add(n: np.ndarray) -> None:
+            # both neighbours at up to two words tell of the company a word keeps; -2 parts documents
+            for step in (1, 2):
+                for x, y in ((n[step:], n[:-step]), (n[:-step], n[step:])):
+                    far = np.where((y < 0) | (y >= width - 1), width - 1, y)
+                    np.add.at(seen, (x * width + far)[x >= 0], 1)
+
+        held: list[int] = []
         for batch in batches:
             for text in batch["text"]:
-                n = np.array([number.get(w, -1) for w in words(text)], np.int64)
-                if len(n) < 2:
-                    continue
-                # both neighbours at up to two words tell of the company a word keeps
-                for step in (1, 2):
-                    a, b = n[step:], n[:-step]
-                    for x, y in ((a, b), (b, a)):
-                        cell = (x * width + np.where((y < 0) | (y >= width - 1), width - 1, y))[x >= 0]
-                        at, c = np.unique(cell, return_counts=True)
-                        seen[at] += c.astype(np.int32)
+                held += [get(w, -1) for w in words(text)]
+                held += [-2, -2]
+                if len(held) > 8 * BLOCK:
+                    add(np.array(held, np.int64))
+                    held = []
+        add(np.array([-2, -2, *held], np.int64))
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"cell": at, "c": seen[at]})
 
@@ -179,12 +191,12 @@ def clustered(docs: DataFrame, head: list[str]) -> np.ndarray:
                 v = np.zeros(width, np.float32)
                 for x in cell:
                     v[x["x"]] = x["c"]
-                made.append(np.sqrt(v).astype("<f2").tobytes())
+                made.append(np.sqrt(v).astype("<f4").tobytes())
             yield pd.DataFrame({"word": batch["word"], "v": made})
 
     m = np.zeros((len(head), width), np.float32)
-    for r in rows.mapInPandas(packed, "word int, v binary").toLocalIterator():
-        m[r["word"]] = np.frombuffer(r["v"], "<f2")
+    for r in rows.mapInPandas(packed, "word int, v binary").collect():  # CLUSTERED rows of fixed size at most
+        m[r["word"]] = np.frombuffer(r["v"], "<f4")
     m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
     centres, assigned = m[:k].copy(), np.zeros(len(head), int)
     weight = 1 / np.sqrt(np.arange(1, len(head) + 1))  # about the words' shares
@@ -214,11 +226,11 @@ def trained(docs: DataFrame, head: list[str], classes: np.ndarray, bias: np.ndar
                 p = np.exp(class_logs(w, bias, features))
                 for k in range(3):
                     f = features[:, k]
-                    at, c = np.unique(f * CLASSES + y, return_counts=True)
-                    flat[at] += c
-                    order = np.argsort(f, kind="stable")
-                    firsts = np.flatnonzero(np.diff(f[order], prepend=-1))
-                    expected[f[order][firsts]] += np.add.reduceat(p[order], firsts, axis=0)
+                    np.add.at(flat, f * CLASSES + y, np.float32(1))
+                    order = np.argsort(f.astype(np.uint16), kind="stable")  # small integers sort by radix
+                    ranked = f[order]
+                    firsts = np.flatnonzero(np.diff(ranked, prepend=-1))
+                    expected[ranked[firsts]] += np.add.reduceat(p[order], firsts, axis=0)
 
             held: list[tuple[np.ndarray, np.ndarray]] = []
             n = 0
@@ -250,7 +262,7 @@ def trained(docs: DataFrame, head: list[str], classes: np.ndarray, bias: np.ndar
         parts = share.mapInPandas(gradients, "slab int, sums binary")
         # a group has one row of fixed size from each task, and is read a batch at a time
         sums = parts.groupBy("slab").applyInPandas(added, "slab int, sums binary")
-        for r in sums.toLocalIterator():
+        for r in sums.collect():  # FEATURES x CLASSES numbers, twice
             seen, expected = np.frombuffer(r["sums"], "<f4").reshape(2, -1, CLASSES)
             # the gradient is seen - expected; its logarithmic scale is that of iterative scaling
             w[r["slab"] : r["slab"] + len(seen)] += STEP * np.log1p((seen - expected) / (expected + SMOOTH))
