@@ -118,7 +118,8 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple[n
 def train(docs: DataFrame) -> dict | None:
     """The model from the labelled rows of docs (doc_id, text, lang) that aren't held out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (common.remainder(F.col("doc_id"), PARTS) != HELD)).select("doc_id", "text", "lang")
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()]
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()}
+    langs = list(many)
     if not langs:
         return None
     langs = sorted(langs, key=lambda x: x.encode("utf-8", "surrogatepass"))
@@ -139,7 +140,10 @@ def train(docs: DataFrame) -> dict | None:
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     key = ["lang", "doc_id", F.xxhash64("text").alias("h")]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")
-    chosen = rows.where(F.col("lang").isin(langs)).select(*key).withColumn("k", F.row_number().over(order)).where(F.col("k") <= PER_CLASS)
+    # of a large language a small share by hash, some times the sample, goes to the window at all
+    place = F.xxhash64("doc_id") / float(1 << 64) + 0.5
+    share = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(2.0, 4 * PER_CLASS / n))])
+    chosen = rows.where(F.col("lang").isin(langs)).where(place < F.try_element_at(share, F.col("lang"))).select(*key).withColumn("k", F.row_number().over(order)).where(F.col("k") <= PER_CLASS)
     chosen = chosen.select(*[F.col(c).alias(f"{c}_") for c in ("lang", "doc_id", "h")], "k")
     # PER_CLASS x CLASSES rows at most
     same = (F.col("lang") == F.col("lang_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("h_"))
