@@ -97,7 +97,8 @@ def repeated(docs: DataFrame, size: int = REPEATED) -> DataFrame:
     all_ = common.stored(chunked(docs), "chunks")
     last = F.lit((1 << 63) - 1)
     by = all_.where("not again").groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", last)).alias("first_doc"))
-    met = all_.drop("again").join(by.where("copies > 1").drop("copies"), "digest")
+    # as a table of its own, so that both sides of the join are plain exchanges and a hot digest can be split
+    met = all_.drop("again").join(common.stored(by.where("copies > 1").drop("copies"), "copied"), "digest")
     # a document's chunks come together here: they are as many as its own text has
     spans = met.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("n", "start", "stop", "first_doc"))).alias("c"))
 

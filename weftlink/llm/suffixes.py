@@ -100,7 +100,8 @@ def neighbours(kept: DataFrame) -> DataFrame:
     either side) in the sorted order; and each suffix that begins a group, with place2 -1."""
     # what stands in one row alone isn't sorted; sums by key say what does
     shared = kept.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("key")
-    rows = kept.join(shared, "key").select(*ORDER)
+    # as a table of its own, so that both sides of the join are plain exchanges and a hot key can be split
+    rows = kept.join(common.stored(shared, "shared"), "key").select(*ORDER)
     table = common.stored(rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id()), "suffixes")
     # a range begins with what the range before ended with: one row of each
     ends = [tuple(r["s"]) for r in table.groupBy("part").agg(F.max(F.struct("part", *ORDER)).alias("s")).collect()]
