@@ -11,8 +11,9 @@ padding. So a task holds POOL remainders at most and there is no shuffle at all.
 Sequence ids are the number of the partition and a counter; a task that runs again gets the same rows and
 gives the same ids.
 
-Words are tokenized once and kept in a bounded cache: white space always parts tokens of this vocabulary,
-and is dropped, so a text's ids are those of its words in turn.
+Parts of words are tokenized once and kept in a bounded cache: white space always parts tokens of this
+vocabulary, and is dropped, so a text's ids are those of its parts in turn. New parts are merged many at a
+time (bpe).
 
 Defined results: a null or empty text is the end id alone; rows with the same doc_id are packed each on
 its own; an empty table gives an empty result. Other columns are ignored.
@@ -21,8 +22,6 @@ its own; an empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import functools
-import itertools
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,16 +31,17 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from weftlink.llm import common
+from weftlink.llm import bpe, common
 
-#: Limits of a sequence, remainders that a task holds, words that a worker keeps, longest of them.
-TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 300_000, 48
+#: Limits of a sequence, remainders that a task holds, parts of words that a worker keeps, longest of them.
+TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 600_000, 48
+#: Characters of the texts whose new parts are tokenized together.
+GROUP = 1 << 21
 VOCABULARY, END = "word_bpe_49k.json", 2
-_WORDS = re.compile(common.WORD)
 
 
 class Words:
-    """ids of texts, by way of a bounded cache of words."""
+    """ids of texts, by way of a bounded cache of the parts of words."""
 
     def __init__(self, vocabulary: str):
         import os
@@ -52,23 +52,46 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.kept: dict[str, bytes] = {}
+        try:
+            self.merges = bpe.Merges(self.tokenizer.to_str())
+            known = [w for w in sorted(self.tokenizer.get_vocab())[::97] if w]
+            if [x.tobytes() for x in self.several(known)] != self._encode(known):
+                self.merges = None
+        except (KeyError, ValueError):
+            self.merges = None  # a vocabulary of another make
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, text: str) -> np.ndarray:
-        words = _WORDS.findall(text)
-        if new := [w for w in set(words) if w not in self.kept]:
+    def _of(self, parts: set[str]) -> dict[str, bytes]:
+        """ids of parts; words that the merges can't serve, and very long ones, go to the library."""
+        own = [p for p in parts if p[0] != "\0" and len(p) <= 4 * LONGEST]
+        rest = list(parts.difference(own))
+        return self.merges.encode(own) | dict(zip(rest, self._encode([p.removeprefix("\0") for p in rest]), strict=True))
+
+    def several(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """ids of each text. New parts of a group of texts are met together."""
+        if not self.merges:
+            for i in range(0, len(texts), 64):
+                yield from (np.frombuffer(b, "<u4") for b in self._encode(texts[i : i + 64]))
+            return
+        at = 0
+        while at < len(texts):
+            group, size = [], 0
+            while at < len(texts) and (not group or size + len(texts[at]) <= GROUP):
+                group.append(bpe.parted(texts[at]))
+                size += len(texts[at])
+                at += 1
+            new = set().union(*group).difference(self.kept)
             if len(self.kept) + len(new) > CACHE:
                 self.kept.clear()
-                new = list(set(words))
-            long = any(len(w) > LONGEST for w in new)
-            if long or len(new) > CACHE:
-                found: dict[str, bytes] = dict(zip(new, self._encode(new), strict=True))
-                self.kept.update((w, b) for w, b in itertools.islice(found.items(), CACHE // 2) if len(w) <= LONGEST)
-                return np.frombuffer(b"".join([found[w] if w in found else self.kept[w] for w in words]), "<u4")
-            self.kept.update(zip(new, self._encode(new), strict=True))
-        return np.frombuffer(b"".join(map(self.kept.__getitem__, words)), "<u4")
+                new = set().union(*group)
+            self.kept.update(self._of(new))
+            get = self.kept.__getitem__
+            for parts in group:
+                yield np.frombuffer(b"".join(map(get, parts)), "<u4")
+            for p in [p for p in new if len(p) > LONGEST]:
+                del self.kept[p]
 
 
 @functools.cache
@@ -187,8 +210,8 @@ def packed(docs: DataFrame, vocabulary: str = VOCABULARY, limits: tuple[int, int
             return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(words.ids(text or ""), np.uint32(END))
+            for doc_id, ids in zip(batch["doc_id"], words.several([t or "" for t in batch["text"]]), strict=True):
+                ids = np.append(ids, np.uint32(END))
                 packer.add(Example(None if pd.isna(doc_id) else int(doc_id), ids, len(ids)))
                 if len(packer.out) >= 8192:
                     yield ready()
