@@ -277,7 +277,10 @@ def scored(docs: DataFrame) -> DataFrame:
     learn = _training(docs)
     vocabulary = common.stored(counted(learn), "vocabulary")
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = vocabulary.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    # rarer words than about the HEAD-th don't go to the driver from every task
+    short = vocabulary.where(F.length("word") <= LONGEST)
+    least = short.agg(F.percentile_approx("c", 1 - min(1.0, 1.05 * HEAD / max(v, 1)), 100_000)).first()[0] or 0
+    top = short.where(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(HEAD).collect()
     head, counts = [r["word"] for r in top], np.array([r["c"] for r in top], np.int64)
     classes = np.array([form_class(w) for w in head], np.int64)
     classes[:CLUSTERED] = clustered(learn, head[:CLUSTERED])
