@@ -77,7 +77,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     probes = probes.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("probe"))
     if radius == 1:
         table = prints.select(F.col("fp").alias("b"))
-        found = probes.join(table, F.col("probe") == F.col("b")).select(F.col("fp").alias("a"), "b")
+        found = probes.hint("merge").join(table.hint("merge"), F.col("probe") == F.col("b")).select(F.col("fp").alias("a"), "b")
     else:
         # 65 fingerprints at most lie within one bit of a probe, so no key is hot
         found = probes.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("probe").orderBy("fp")).alias("b"))
