@@ -98,7 +98,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         for s, r in step:
             radii[s] = max(radii[s], r)
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
-        met = open_.mapInPandas(probes, "q long, worst int, segment int, value int").join(table, ["segment", "value"])
+        # probes are many more than the rows they come from, so neither side may be broadcast by that estimate
+        met = open_.mapInPandas(probes, "q long, worst int, segment int, value int").hint("merge").join(table.hint("merge"), ["segment", "value"])
         met = met.select("q", "code", distance.alias("distance"), "worst").where("distance <= worst").select("q", "code", "distance").distinct()
         both = listed(met).unionByName(best.select("q", "distance", "id", "copy")).distinct()
         best = common.stored(_best(both, k), "best")
