@@ -87,6 +87,40 @@ def test_suffix_extents_are_exact(spark):
             assert [(p["start"], p["stop"]) for p in r["passages"]] == [(start, start + 55)]
 
 
+def test_suffix_passages_among_many_copies_of_their_middle(spark):
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    rows, want, add = [], {}, lambda words: rows.append((len(rows), " ".join(words), "en", "a"))
+    for _ in range(12):
+        # 56 words in two texts; 36 of them in 20 others
+        middle, left, right = text(36), text(10), text(10)
+        for n in (20, 35):
+            want[len(rows)] = (n, n + 56)
+            add(text(n) + left + middle + right + text(15))
+        for _ in range(20):
+            add(text(12) + middle + text(12))
+        # 60 words in two texts; the middle 30 of them three times more in the first
+        middle, left, right = text(30), text(15), text(15)
+        want[len(rows)] = (7, 67)
+        add(text(7) + left + middle + right + [w for _ in range(3) for w in text(9) + middle])
+        want[len(rows)] = (3, 63)
+        add(text(3) + left + middle + right + text(4))
+    got = {r["doc_id"]: [(p["start"], p["stop"]) for p in r["passages"]] for r in suffixes.repeated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: [w] for i, w in want.items()}
+
+
+def test_suffix_passages_twice_in_one_document(spark):
+    rng = random.Random(12)
+    text = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
+    rows = []
+    for i in range(30):
+        passage = text(52)
+        rows += [(2 * i, f"{passage} {text(20)} {passage} {text(6)}", "en", "a"), (2 * i + 1, f"{text(5)} {passage}", "en", "a")]
+    got = {r["doc_id"]: [(p["start"], p["stop"], list(p["others"])) for p in r["passages"]] for r in suffixes.repeated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(30):
+        assert got[2 * i] == [(0, 52, [2 * i + 1]), (72, 124, [2 * i + 1])] and got[2 * i + 1] == [(5, 57, [2 * i])]
+
+
 @given(st.binary(max_size=3000), st.binary(min_size=1, max_size=20), st.integers(0, 3000))
 @settings(max_examples=60, deadline=None)
 def test_cuts_depend_on_what_is_near(data, new, at):

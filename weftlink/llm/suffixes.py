@@ -2,15 +2,15 @@
 
 Words are hashed. In every window of WINDOW places the place whose next GRAM words have the least hash (a
 minimiser) keeps its suffix; so a passage keeps the same places wherever it stands. A kept suffix is
-represented by hashes of its first MATCH and first 2 MATCH words. Sorted by these and then by place,
-suffixes that share a passage are neighbours: neighbours with an equal first hash share MATCH words. The
-sort is by ranges of hash and place together, so equal suffixes are dealt out over tasks; what ends a range
-is carried over to the next, a row for each task.
+represented by a hash of its first MATCH words, and those whose hash stands in two rows go on.
 
-Each match is a suffix and a neighbour (not all pairs). Matches at successive kept places of a document
-overlap and form a run. The ends of a run are extended left and right by the hashed words around them and
-around their neighbours; as kept places are at most WINDOW apart, a bounded surrounding suffices. Overlapping
-extents in a document merge. Passages of at least WORDS words are reported.
+Each WORDS successive words belong to the minimiser of their first WINDOW places, whose MATCH words lie inside
+of them; so words that stand in two rows have a suffix there that goes on. The WORDS words around such a suffix
+are a context, with a hash of its own and one for each WORDS successive words in it. Contexts that are equal
+count once, with the least and greatest of their rows; then the WORDS words are counted by hash over distinct
+contexts. What stands in two rows is so known for each WORDS words by themselves, however often parts of
+them stand elsewhere, or in the same row. No group is gathered and no pairs are made. Overlapping finds in
+a document merge to passages.
 
 Defined results: a null or empty text has no suffixes; of equal texts each document's whole text is a
 passage, if long enough; a passage that repeats in one document alone is left to it; rows that are equal in
@@ -26,13 +26,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
 from weftlink.llm import common
 
-#: Places of a window, words whose hash makes a minimiser, words of a match, of a passage, compared beyond a match.
-WINDOW, GRAM, MATCH, WORDS, AROUND = 24, 5, 26, 50, 28
+#: Places of a window, words whose hash makes a minimiser, words of a match, of a passage (WINDOW + MATCH - 1 at least).
+WINDOW, GRAM, MATCH, WORDS = 24, 5, 26, 50
 _WORDS = re.compile(common.WORD)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,15 +54,21 @@ def spans_hash(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def minimisers(h: np.ndarray) -> np.ndarray:
-    """Places whose gram is the least of a window (the last of equal ones); all windows of the text."""
+def owners(h: np.ndarray) -> np.ndarray:
+    """For each window of the text, the place whose gram is the least (the last of equal ones)."""
     grams = spans_hash(h, GRAM)
-    if not len(grams):
+    if len(grams) < WINDOW:
         return np.zeros(0, np.int64)
-    if len(grams) <= WINDOW:
-        return np.array([len(grams) - 1 - int(np.argmin(grams[::-1]))])
     windows = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)[:, ::-1]
-    return np.unique(np.arange(len(windows)) + WINDOW - 1 - windows.argmin(axis=1))
+    return np.arange(len(windows)) + WINDOW - 1 - windows.argmin(axis=1)
+
+
+def minimisers(h: np.ndarray) -> np.ndarray:
+    """Places whose gram is the least of a window; all windows of the text."""
+    grams = spans_hash(h, GRAM)
+    if 0 < len(grams) <= WINDOW:
+        return np.array([len(grams) - 1 - int(np.argmin(grams[::-1]))])
+    return np.unique(owners(h))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -72,7 +77,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def suffixes(rows: DataFrame) -> DataFrame:
-    """row, o (which of the text's kept suffixes), place, key, more (hashes of the first words) of each."""
+    """row, place, key (hash of the first words) of each kept suffix."""
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -80,153 +85,83 @@ def suffixes(rows: DataFrame) -> DataFrame:
                 part, made = batch[at : at + 256], []
                 for text in part["text"]:
                     h = hashed(text)
-                    first, longer, places = spans_hash(h, MATCH), spans_hash(h, 2 * MATCH), minimisers(h)
+                    first, places = spans_hash(h, MATCH), minimisers(h)
                     places = places[places < len(first)]
-                    more = np.zeros(len(first), np.uint64)
-                    more[: len(longer)] = longer
-                    made.append((places, first[places].view(np.int64), more[places].view(np.int64), np.arange(len(places))))
-                place, key, more, o = (np.concatenate([m[k] for m in made]) for k in range(4))
+                    made.append((places, first[places].view(np.int64)))
+                place, key = (np.concatenate([m[k] for m in made]) for k in range(2))
                 row = np.repeat(part["row"].to_numpy(), [len(m[0]) for m in made])
-                yield pd.DataFrame({"row": row, "o": o.astype(np.int32), "place": place.astype(np.int32), "key": key, "more": more})
-
-    return rows.select("row", "text").mapInPandas(keep, "row long, o int, place int, key long, more long")
+                yield pd.DataFrame({"row": row, "place": place.astype(np.int32), "key": key})
 
+    return rows.select("row", "text").mapInPandas(keep, "row long, place int, key long")
 
-ORDER = ["key", "more", "row", "place", "o"]
 
-
-def neighbours(kept: DataFrame) -> DataFrame:
-    """row, o, place, row2, place2: suffixes that share MATCH words with another row, with a neighbour (on
-    either side) in the sorted order; and each suffix that begins a group, with place2 -1."""
-    # what stands in one row alone isn't sorted; sums by key say what does
+def shared_places(kept: DataFrame) -> DataFrame:
+    """row, places: the suffixes that share MATCH words with another row."""
     shared = kept.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("key")
     # as a table of its own, so that both sides of the join are plain exchanges and a hot key can be split
-    rows = kept.join(common.stored(shared, "shared"), "key").select(*ORDER)
-    table = common.stored(rows.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id()), "suffixes")
-    # a range begins with what the range before ended with: one row of each
-    ends = [tuple(r["s"]) for r in table.groupBy("part").agg(F.max(F.struct("part", *ORDER)).alias("s")).collect()]
-    ends = {e[0]: e[1:] for e in ends}
-    parts = sorted(ends)
-    carried = {p: ends[q] for q, p in zip(parts, parts[1:], strict=False)}
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, now = None, None
-        for batch in batches:
-            for part, own in batch.groupby("part", sort=True):
-                if part != now:
-                    last, now = carried.get(part), part
-                v = own[ORDER].to_numpy(np.int64)
-                new = np.ones(len(v) + 1, bool)
-                if last is not None:
-                    v, new = np.concatenate([np.array([last], np.int64), v]), np.append(False, new[1:])
-                new = new[: len(v)]
-                last = tuple(v[-1])
-                a, b = v[1:], v[:-1]
-                same = a[:, 0] == b[:, 0]
-                hit = same & (a[:, 2] != b[:, 2])
-                there = lambda x, y: pd.DataFrame({"row": x[:, 2], "o": x[:, 4], "place": x[:, 3], "row2": y[:, 2], "place2": y[:, 3]})
-                alone = v[new]
-                yield there(a[hit], b[hit])
-                yield there(b[hit], a[hit])
-                yield pd.DataFrame({"row": alone[:, 2], "o": alone[:, 4], "place": alone[:, 3], "row2": 0, "place2": -1})
-
-    return table.mapInPandas(compare, "row long, o long, place long, row2 long, place2 long")
-
-
-def runs(hits: DataFrame) -> DataFrame:
-    """row, first, last (places of a run of matches), side (-1: left, 1: right), place, row2, place2 (what
-    the end on that side is compared with; place2 is -1 if with nothing)."""
-
-    def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row, found in zip(batch["row"], batch["found"], strict=True):
-                at: dict[int, list] = {}
-                for x in found:
-                    got = at.setdefault(x["o"], [x["place"]])
-                    if x["place2"] >= 0:
-                        got.append((x["row2"], x["place2"]))
-                order = sorted(at)
-                ends = [i for i, o in enumerate(order) if i + 1 == len(order) or order[i + 1] != o + 1]
-                start = 0
-                for end in ends:
-                    f, z = at[order[start]], at[order[end]]
-                    for side, it in ((-1, f), (1, z)):
-                        for row2, place2 in it[1:] or [(0, -1)]:
-                            out.append((row, f[0], z[0], side, it[0], row2, place2))
-                    start = end + 1
-            yield pd.DataFrame(out, columns=["row", "first", "last", "side", "place", "row2", "place2"])
-
-    # the matches of a row are as many as its own text has kept places, thrice at most
-    by = hits.groupBy("row").agg(F.collect_set(F.struct("o", "place", "row2", "place2")).alias("found"))
-    return by.mapInPandas(group, "row long, first long, last long, side int, place long, row2 long, place2 long")
-
-
-def surroundings(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, place, doc_id, before, after: the hashed words around the match at a wanted (row, place)."""
+    found = kept.join(common.stored(shared, "shared"), "key")
+    # as many as the row's own text has kept places
+    return found.groupBy("row").agg(F.collect_set("place").alias("places"))
+
+
+def contexts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """row, doc_id, first, context, hashes: the successive `words` words that belong to a wanted place (from
+    place `first` of the text on), by their hashes, and a hash of all of these."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row, doc_id, text, places in zip(batch["row"], batch["doc_id"], batch["text"], batch["places"], strict=True):
-                h = hashed(text).astype("<u4")
-                for p in places:
-                    out.append((row, p, doc_id, h[max(0, p - AROUND) : p].tobytes(), h[p + MATCH : p + MATCH + AROUND].tobytes()))
-            yield pd.DataFrame(out, columns=["row", "place", "doc_id", "before", "after"])
-
-    by = wanted.groupBy("row").agg(F.collect_set("place").alias("places"))
-    texts = rows.withColumn("doc_id", F.col("doc_id").cast("string")).join(by, "row")
-    out = texts.mapInPandas(read, "row long, place long, doc_id string, before binary, after binary").dropDuplicates(["row", "place"])
+                h = hashed(text)
+                each = spans_hash(h, words)
+                of = owners(h)[: len(each)]
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                stops = np.append(starts[1:], len(of))
+                for a, b in zip(starts[mine := np.isin(of[starts], places)].tolist(), stops[mine].tolist(), strict=True):
+                    hashes = each[a:b].view(np.int64)
+                    out.append((row, doc_id, a, np.uint64(xxh3_64_intdigest(hashes.tobytes())).view(np.int64), hashes))
+            yield pd.DataFrame(out, columns=["row", "doc_id", "first", "context", "hashes"])
+
+    texts = rows.withColumn("doc_id", F.col("doc_id").cast("string")).join(wanted, "row")
+    out = texts.mapInPandas(read, "row long, doc_id string, first long, context long, hashes array<long>")
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-@F.pandas_udf(T.IntegerType())
-def agreeing(side: pd.Series, before: pd.Series, after: pd.Series, before2: pd.Series, after2: pd.Series) -> pd.Series:
-    """How many words next to two matches agree, on the left or right."""
-
-    def one(s, b, a, b2, a2):
-        if b2 is None or b is None:
-            return 0
-        x, y = (np.frombuffer(v, "<u4")[::s] for v in ((b, b2) if s < 0 else (a, a2)))
-        n = min(len(x), len(y))
-        differ = np.flatnonzero(x[:n] != y[:n])
-        return int(differ[0]) if len(differ) else n
-
-    return pd.Series(list(map(one, side, before, after, before2, after2)), dtype="int32")
-
-
 def repeated(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """row, doc_id, passages: array of (start, stop, others): words of the text that stand in other rows, and
-    doc_ids of the neighbours that its ends were compared with."""
+    of the documents that they stand in the least and greatest doc_ids but its own."""
+    if words < WINDOW + MATCH - 1:
+        raise ValueError("fewer words than a window and a match have")
     rows = keyed(docs)
-    found = common.stored(runs(neighbours(common.stored(suffixes(rows), "kept"))), "runs")
-    wanted = found.select("row", "place").unionByName(found.where("place2 >= 0").select(F.col("row2").alias("row"), F.col("place2").alias("place")))
-    near = common.stored(surroundings(rows, wanted), "near")
-    other = near.select(F.col("row").alias("row2"), F.col("place").alias("place2"), F.col("doc_id").alias("other"), F.col("before").alias("before2"), F.col("after").alias("after2"))
-    both = found.join(near, ["row", "place"]).join(other, ["row2", "place2"], "left")
-    both = both.withColumn("n", agreeing("side", "before", "after", "before2", "after2"))
-    ends = F.when(F.col("side") < 0, F.struct((F.col("first") - F.col("n")).alias("start"), (F.col("last") + MATCH).alias("stop"), "other")).otherwise(
-        F.struct(F.col("first").alias("start"), (F.col("last") + MATCH + F.col("n")).alias("stop"), F.col("other").alias("other"))
-    )
-    by = both.groupBy("row", "doc_id").agg(F.array_sort(F.collect_set(ends)).alias("e"))
+    met = common.stored(contexts(rows, shared_places(common.stored(suffixes(rows), "kept")), words), "met")
+    extremes = lambda a, b, least, greatest: (F.min(a).alias("a"), F.max(b).alias("b"), F.min(least).alias("least"), F.max(greatest).alias("greatest"))
+    distinct = common.stored(met.groupBy("context").agg(*extremes("row", "row", "doc_id", "doc_id"), F.first("hashes").alias("hashes")), "contexts")
+    each = distinct.select("context", "a", "b", "least", "greatest", F.posexplode("hashes").alias("i", "h"))
+    shared = common.stored(each.groupBy("h").agg(*extremes("a", "b", "least", "greatest")).where("a <> b").drop("a", "b"), "words")
+    # a context has WINDOW places at most
+    places = each.select("context", "i", "h").join(shared, "h").groupBy("context").agg(F.collect_list(F.struct("i", "least", "greatest")).alias("at"))
+    found = met.select("row", "doc_id", "first", "context").join(common.stored(places, "places"), "context")
+    # a document's contexts come together here: they are part of its own text
+    by = found.groupBy("row", "doc_id").agg(F.collect_set(F.struct("first", "at")).alias("e"))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for e in batch["e"]:
+            for doc_id, e in zip(batch["doc_id"], batch["e"], strict=True):
                 spans: list[list] = []
-                for x in sorted(e, key=lambda x: (x["start"], x["stop"])):
-                    if spans and x["start"] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], x["stop"])
-                        spans[-1][2].add(x["other"])
+                own = {None, None if doc_id is None else int(doc_id)}
+                for start, others in sorted(((x["first"] + y["i"], (y["least"], y["greatest"])) for x in e for y in x["at"]), key=lambda f: f[0]):
+                    if spans and start <= spans[-1][1]:
+                        spans[-1][1] = start + words
+                        spans[-1][2].update(others)
                     else:
-                        spans.append([x["start"], x["stop"], {x["other"]}])
-                out.append([{"start": a, "stop": b, "others": sorted(o for o in others if o is not None)} for a, b, others in spans if b - a >= words])
+                        spans.append([start, start + words, set(others)])
+                out.append([{"start": a, "stop": b, "others": sorted(others - own)} for a, b, others in spans])
             yield batch[["row", "doc_id"]].assign(passages=out)
 
     kind = "row long, doc_id string, passages array<struct<start:long,stop:long,others:array<long>>>"
     out = by.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(merge, kind)
-    return out.withColumn("doc_id", F.col("doc_id").cast("long")).where(F.size("passages") > 0)
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
