@@ -131,6 +131,37 @@ def test_cuts_depend_on_what_is_near(data, new, at):
     assert {e + len(new) for e in a if e > after} - {len(data) + len(new)} == {e for e in b if e > after + len(new)} - {len(data) + len(new)}
 
 
+def test_chunks_stay_in_their_first_document(spark):
+    rng = random.Random(31)
+    text = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
+    a, b, d = text(60), text(60), text(60)
+    texts = {1: f"{a} {b}", 2: f"{a} {d} {b}", 3: f"{a} {d} {b}"}
+    got = {r["doc_id"]: r["passages"] for r in chunks.repeated(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    left = dict.fromkeys(texts, b"")
+    for i, t in texts.items():
+        data, at = t.encode(), 0
+        for s in sorted((s["start"], s["stop"]) for p in got[i] for s in p["dropped"]):
+            left[i] += data[at : s[0]]
+            at = s[1]
+        left[i] += data[at:]
+    assert a.encode() in left[1] and b.encode() in left[1]
+    # all chunks inside the insertion stay in document 2 alone
+    assert d.encode()[200:-200] in left[2] and a.encode()[200:-200] not in left[2]
+    assert left[3] == b"" and not any(s["dropped"] for s in got[1])
+
+
+def test_no_chunk_is_dropped_everywhere(spark, tmp_path):
+    rng = random.Random(32)
+    text = lambda n: " ".join(f"w{rng.getrandbits(40):x}" for _ in range(n))
+    a, b, d = text(60), text(60), text(60)
+    texts = {1: f"{a} {b}", 2: f"{a} {d} {b}", 3: f"{a} {d} {b}"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    dropped = {r["doc_id"]: r["dropped_bytes"] for r in chunks.op1_substring_dedup(spark, str(tmp_path)).collect()}
+    assert dropped[1] == 0 and dropped[3] == len(texts[3])
+    # what document 2 adds stays there
+    assert len(texts[2]) - dropped[2] >= len(d)
+
+
 def test_gear_by_the_byte():
     rng = random.Random(2)
     data = bytes(rng.randrange(256) for _ in range(5000))

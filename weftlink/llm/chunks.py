@@ -92,8 +92,9 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, size: int = REPEATED) -> DataFrame:
-    """row, doc_id, passages: array of (start, stop, kept, first_doc): bytes of the text that stand in other
-    documents too; kept tells whether all of it stays; first_doc is the least document with its first chunk."""
+    """row, doc_id, passages: array of (start, stop, kept, first_doc, dropped): bytes of the text that stand in
+    other documents too; kept tells whether all of it stays; first_doc is the least document with its first
+    chunk; dropped: array of (start, stop) of its bytes that stay in an earlier document."""
     all_ = common.stored(chunked(docs), "chunks")
     last = F.lit((1 << 63) - 1)
     by = all_.where("not again").groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", last)).alias("first_doc"))
@@ -109,15 +110,20 @@ def repeated(docs: DataFrame, size: int = REPEATED) -> DataFrame:
                 own = (1 << 63) - 1 if doc_id is None else int(doc_id)
                 runs: list[list] = []
                 for x in c:
-                    kept = x["first_doc"] == own
-                    if runs and runs[-1][4] + 1 == x["n"]:
-                        runs[-1][1], runs[-1][2], runs[-1][4] = x["stop"], runs[-1][2] and kept, x["n"]
+                    if runs and runs[-1][2] + 1 == x["n"]:
+                        runs[-1][1], runs[-1][2] = x["stop"], x["n"]
                     else:
-                        runs.append([x["start"], x["stop"], kept, x["first_doc"], x["n"]])
-                out.append([{"start": r[0], "stop": r[1], "kept": r[2], "first_doc": r[3]} for r in runs if r[1] - r[0] >= size])
+                        runs.append([x["start"], x["stop"], x["n"], x["first_doc"], []])
+                    dropped = runs[-1][4]
+                    if x["first_doc"] != own:
+                        if dropped and dropped[-1]["stop"] == x["start"]:
+                            dropped[-1]["stop"] = x["stop"]
+                        else:
+                            dropped.append({"start": x["start"], "stop": x["stop"]})
+                out.append([{"start": r[0], "stop": r[1], "kept": not r[4], "first_doc": r[3], "dropped": r[4]} for r in runs if r[1] - r[0] >= size])
             yield batch[["row", "doc_id"]].assign(passages=out)
 
-    kind = "row long, doc_id string, passages array<struct<start:int,stop:int,kept:boolean,first_doc:long>>"
+    kind = "row long, doc_id string, passages array<struct<start:int,stop:int,kept:boolean,first_doc:long,dropped:array<struct<start:int,stop:int>>>>"
     text_ids = spans.withColumn("doc_id", F.col("doc_id").cast("string"))
     return text_ids.mapInPandas(joined, kind).withColumn("doc_id", F.col("doc_id").cast("long")).where(F.size("passages") > 0)
 
@@ -131,7 +137,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("passages").cast("long").alias("n_passages"),
         total(F.col("passages")).alias("repeated_bytes"),
-        total(F.filter("passages", lambda s: ~s["kept"])).alias("dropped_bytes"),
+        total(F.flatten(F.transform("passages", lambda s: s["dropped"]))).alias("dropped_bytes"),
         F.array_join(shown, ",").alias("spans"),
         F.array_sort(F.array_distinct(F.transform("passages", lambda s: s["first_doc"]))).alias("first_docs"),
     )
