@@ -314,6 +314,29 @@ def test_language(spark, docs):
     assert got.score.between(0, 1).all()
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(41)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 70 * 6)]
+    text = lambda k: " ".join("".join(rng.choice(letters[6 * k : 6 * k + 6]) for _ in range(4)) for _ in range(12))
+    rows = [(1000 * k + i, text(k), f"x{k:02}") for k in range(70) for i in range(8 if k else 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = df.select("lang", langid.predicted(langid.train(df), spark).alias("p")).select("lang", "p.lang_pred").collect()
+    assert {r["lang"] for r in got if r["lang"] != r["lang_pred"]} == set()
+
+
+def test_languages_with_missing_or_repeated_ids_are_learned(spark):
+    rng = random.Random(42)
+    text = lambda s: " ".join("".join(rng.choice(s) for _ in range(4)) for _ in range(6))
+    rows = [(None, text("abcde"), "a") for _ in range(6000)] + [(8, text("fghij"), "b") for _ in range(6000)] + [(i, text("klmno"), "c") for i in range(40)]
+    rows += [(9, "pqrst tsrqp", "d")] * 6000 + [(10, "rstpq qpstr", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = langid.train(df)
+    assert m["langs"] == ["a", "b", "c", "d"]
+    few = df.where("lang <> 'd'").sample(0.05, seed=1).unionByName(df.where("lang = 'd'").distinct())
+    got = few.select("lang", langid.predicted(m, spark).alias("p")).select("lang", "p.lang_pred").collect()
+    assert {r["lang"] for r in got} >= {"a", "b", "d"} and all(r["lang"] == r["lang_pred"] for r in got)
+
+
 def test_language_counts_are_whole():
     text = "ab cd" * 40_000
     n = langid.counts(text)

@@ -1,9 +1,9 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Letters are lower-cased, all else is one space; n-grams of 1 to 3 characters are hashed to 2^15 features.
-Document frequencies come from all training documents. The weights are fitted on a bounded sample: at most
-PER_CLASS documents of each of the CLASSES most frequent languages, those with the least hash of their
-doc_id, so reruns agree. They are trained with the follow-the-regularised-leader update (elastic net: l1
+Document frequencies come from all training documents. The weights are fitted on a bounded sample: of every
+language at most PER_CLASS documents, or an equal part of SAMPLE if there are many languages (one document
+at least), those with the least hash of doc_id and text, so reruns agree. They are trained with the follow-the-regularised-leader update (elastic net: l1
 and l2), then a temperature is fitted on a part of the sample that the weights haven't seen. Everything
 but that fit covers all documents and whole texts.
 
@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 from weftlink.llm import common
 
-#: Bound of the sample: documents of a language, languages, and characters that are read of one of them.
-PER_CLASS, CLASSES = 400, 64
+#: Bound of the sample: documents of a language, and of all languages.
+PER_CLASS, SAMPLE = 400, 25_600
 #: Hashed features, longest n-gram, held-out remainder of how many parts.
 FEATURES, LONGEST, HELD, PARTS = 1 << 15, 3, 2, 4
 #: Follow-the-regularised-leader: rate, smoothing, penalties; passes over the sample; the part kept for calibration.
@@ -82,9 +82,12 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights, biases and temperature from (class, features, values); every KEPT-th row calibrates."""
+    """Weights, biases and temperature from (class, features, values); every KEPT-th row of a class calibrates."""
     z, n = np.zeros((FEATURES + 1, classes)), np.zeros((FEATURES + 1, classes))
-    learn, keep = [r for i, r in enumerate(rows) if i % KEPT], rows[::KEPT]
+    learn, keep, seen = [], [], [0] * classes
+    for r in rows:
+        seen[r[0]] += 1
+        (learn if seen[r[0]] % KEPT else keep).append(r)
 
     def weights(at: np.ndarray) -> np.ndarray:
         zi, ni = z[at], n[at]
@@ -118,7 +121,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int) -> tuple[n
 def train(docs: DataFrame) -> dict | None:
     """The model from the labelled rows of docs (doc_id, text, lang) that aren't held out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (common.remainder(F.col("doc_id"), PARTS) != HELD)).select("doc_id", "text", "lang")
-    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()}
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = list(many)
     if not langs:
         return None
@@ -138,14 +141,26 @@ def train(docs: DataFrame) -> dict | None:
     df = np.zeros(FEATURES + 1)
     df[seen["feature"]] = seen["df"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    key = ["lang", "doc_id", F.xxhash64("text").alias("h")]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")
+    most = max(1, min(PER_CLASS, SAMPLE // len(langs)))
+    # rows that are equal in all of these count once
+    hashed = rows.select("lang", "doc_id", F.xxhash64("text").alias("h"), F.xxhash64("doc_id", "text").alias("place"))
     # of a large language a small share by hash, some times the sample, goes to the window at all
-    place = F.xxhash64("doc_id") / float(1 << 64) + 0.5
-    share = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(2.0, 4 * PER_CLASS / n))])
-    chosen = rows.where(F.col("lang").isin(langs)).where(place < F.try_element_at(share, F.col("lang"))).select(*key).withColumn("k", F.row_number().over(order)).where(F.col("k") <= PER_CLASS)
+    shares = {lang: 4 * most / n for lang, n in many.items() if n > 4 * most}
+
+    def thinned() -> DataFrame:
+        if not shares:
+            return hashed.distinct()
+        share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+        return hashed.where(F.col("place") / float(1 << 64) + 0.5 < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(2.0))).distinct()
+
+    if shares:
+        # a language whose share is less than the sample, as its rows are few and often repeated, goes there whole
+        left = {r["lang"]: r["count"] for r in thinned().groupBy("lang").count().collect()}
+        shares = {lang: x for lang, x in shares.items() if left.get(lang, 0) >= most}
+    order = Window.partitionBy("lang").orderBy("place", "doc_id", "h")
+    chosen = thinned().withColumn("k", F.row_number().over(order)).where(F.col("k") <= most)
     chosen = chosen.select(*[F.col(c).alias(f"{c}_") for c in ("lang", "doc_id", "h")], "k")
-    # PER_CLASS x CLASSES rows at most
+    # SAMPLE rows at most, or one for each language
     same = (F.col("lang") == F.col("lang_")) & F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.xxhash64("text") == F.col("h_"))
     sample = rows.join(F.broadcast(chosen), same)
 
