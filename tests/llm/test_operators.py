@@ -289,6 +289,20 @@ def test_links_over_chains(spark, radius):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_dedup_keeps_one_row_of_each_group(spark):
+    rng = random.Random(21)
+    text = lambda: " ".join(f"w{rng.getrandbits(30):x}" for _ in range(60))
+    rows = [(None if i % 3 == 0 else i % 7, text()) for i in range(90)]  # unrelated texts, ids missing or repeated
+    rows += [(i, rows[k][1]) for i, k in ((500, 0), (501, 1), (None, 2), (None, 3), (None, 3), (3, 4))]
+    rows += [(None, None), (None, ""), (8, None)]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {}
+    for i, t in rows:
+        want.setdefault(plain_simhash(t), []).append((i is None, i or 0))
+    assert len(got) == len(want)
+    assert {plain_simhash(r["text"]): (r["doc_id"] is None, r["doc_id"] or 0) for r in got} == {k: min(v) for k, v in want.items()}
+
+
 # op5
 
 

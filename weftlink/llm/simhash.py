@@ -13,7 +13,7 @@ gets the component of its fingerprint. Exact copies never make links.
 
 Defined results: a text without words (or null) has fingerprint zero, which links like any other; a null
 doc_id never is a component's id unless the component has no other; rows with the same doc_id are rows of
-their own; an empty table gives an empty result. Other columns are ignored.
+their own, of which deduplicated() keeps one in each component; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -84,28 +84,37 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).distinct()
 
 
-def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id of each row."""
-    # fingerprints are made once; what follows reads 16 bytes a document
-    prints = common.stored(docs.select("doc_id", simhash_udf("text").alias("fp")), "prints")
+def classed(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, text_hash, fp, component (the least fingerprint of its group), component_id of each row."""
+    # fingerprints are made once; what follows reads 24 bytes a document
+    prints = common.stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), simhash_udf("text").alias("fp")), "prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links(distinct.select("fp"), radius))
     of = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     ids = of.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = common.stored(of.where("component <> fp").select("fp", "component").join(ids, "component"), "linked")
     alone = of.where("component = fp").select("fp", "component").join(ids, "component")
-    classes = linked.select("fp", "component_id").unionByName(alone.select("fp", "component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    columns = ["fp", "component", "component_id"]
+    classes = linked.select(*columns).unionByName(alone.select(*columns))
+    return prints.join(classes, "fp").select("doc_id", "text_hash", *columns)
+
+
+def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fp, component_id of each row."""
+    return classed(docs, radius).select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each group: that of the least doc_id (of rows with the same doc_id, one)."""
-    classes = common.stored(grouped(docs, radius), "classes")
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k__"))
-    first = docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("k__")), "left_semi")
-    # the texts are grouped by doc_id only if an id repeats at all
-    again = classes.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return first.dropDuplicates(["doc_id"]) if again else first
+    """docs with one row of each group: that of the least doc_id (null ids last), then of the least fingerprint
+    and hash of the text. Only rows that are equal in doc_id and text are the same row."""
+    classes = common.stored(classed(docs, radius), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")
+    kept = classes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("k__"), F.col("k.text_hash").alias("h__"))
+    same = F.col("doc_id").eqNullSafe(F.col("k__")) & (F.xxhash64("text") == F.col("h__"))
+    first = docs.join(kept, same, "left_semi")
+    # the texts are grouped by row only if a row repeats at all
+    again = classes.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+    return first.withColumn("h__", F.xxhash64("text")).dropDuplicates(["doc_id", "h__"]).select(*docs.columns) if again else first
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
