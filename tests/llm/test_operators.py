@@ -439,6 +439,19 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(not r["learned"] for i, r in got.items() if i != 900)
 
 
+def test_learned_instances_support_further_contexts(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = [f"{word()} {word()} reach me by mail: {word()}{i}@host.org {word()}" for i in range(80)]
+    names = [f"{word()}7{i}_at_host" for i in range(12)]
+    rows += [f"{word()} reach me by mail: {n} {word()}" for n in names]  # learned in the first round
+    rows += [f"{word()} my own handle: {n} {word()}" for n in names]  # a context without any seed
+    last = "y" * 50 + "9" * 30 + "zz"  # long, and only in the second context
+    rows.append(f"{word()} my own handle: {last} {word()}")
+    got = {r["doc_id"]: r["learned"] for r in pii.extracted(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert [[(s["kind"], rows[i][s["start"] : s["stop"]]) for s in got[i]] for i in range(80, 105)] == [[("email", n)] for n in [*names, *names, last]]
+
+
 def test_redaction(spark):
     rows = [(1, "mail a.b@c.org or +1 (555) 555-0100!", 36), (2, "clean", 5), (3, None, None)]
     got = pii.redacted(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).orderBy("doc_id").collect()

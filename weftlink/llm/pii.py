@@ -33,8 +33,8 @@ PATTERNS = {
 #: What a text must hold for a pattern to match at all.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-#: Tokens that may be identifiers: runs without white space that hold a digit, 64 characters at most.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]{0,40}+[0-9][^\x20\x09-\x0D]*+"
+#: Tokens that may be identifiers: runs without white space that hold a digit. Longer ones are told apart by a digest.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 LONGEST = 64
 #: Distinct seeds that a pattern needs; its least confidence; an instance's; rounds of scoring.
 SEEDS, SURE, LIKELY, ROUNDS = 5, 0.8, 0.8, 3
@@ -121,7 +121,7 @@ def _slots(spans: Column, kind: str | None) -> Column:
             F.lit(KINDS.index(kind) if kind else len(KINDS)).alias("place"),
             s["stop"].alias("stop"),
             F.lit(kind).cast("string").alias("kind"),
-            F.lower(F.left(s["value"], F.lit(LONGEST))).alias("value"),
+            F.when(F.length(s["value"]) <= LONGEST, F.lower(s["value"])).otherwise(F.sha2(F.lower(s["value"]), 256)).alias("value"),
             F.array(*[F.concat(F.lit(f"{name} "), w) for name, w in _words(s).items()]).alias("patterns"),
         ),
     )
@@ -136,7 +136,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     base = F.array_sort(F.concat(*[_slots(F.col(k), k) for k in KINDS]))
     out = out.select(F.monotonically_increasing_id().alias("row"), "doc_id", base.alias("base"), _slots(F.col("token"), None).alias("token"))
     free = lambda t: ~F.exists(F.col("base"), lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"]))
-    return out.select("row", "doc_id", "base", F.filter("token", lambda t: (F.length(t["value"]) < LONGEST) & free(t)).alias("other"))
+    return out.select("row", "doc_id", "base", F.filter("token", free).alias("other"))
 
 
 def bootstrap(found: DataFrame, seeds: int = SEEDS, sure: float = SURE, likely: float = LIKELY, rounds: int = ROUNDS) -> DataFrame:
@@ -145,10 +145,8 @@ def bootstrap(found: DataFrame, seeds: int = SEEDS, sure: float = SURE, likely:
     Edges join distinct instances and patterns, so copies of a text count once. Every pattern and instance
     is a key of a partial aggregation; nothing is gathered for one key."""
     slots = found.select(F.explode(F.concat("base", "other")).alias("s")).select("s.kind", "s.value", F.explode("s.patterns").alias("pattern"))
-    edges = slots.groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
-    # a pattern without enough seeds can't be accepted in the first round; most of all contexts go here
-    known = edges.groupBy("pattern").agg(F.count("kind").alias("seeds")).where(F.col("seeds") >= seeds)
-    edges = common.stored(edges.join(known.select("pattern"), "pattern"), "edges")
+    # contexts without seeds stay: what earlier rounds learn may support them in later ones
+    edges = common.stored(slots.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "edges")
     belief = edges.select("pattern", "value", "kind", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("p"))
     for left in range(rounds, 0, -1):
         per_kind = belief.where("kind is not null").groupBy("pattern", "kind").agg(F.sum("p").alias("mass"), F.count("*").alias("of_kind"))
