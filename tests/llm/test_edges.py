@@ -1,5 +1,7 @@
 """Odd and empty tables through every operator and stage."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +52,13 @@ def test_hamming_odd(spark):
     assert [(r["id"], r["distance"]) for r in got] == [(1, 0), (4, 0), (4, 0)]
     assert hamming.top_k(df, df.where("id = 50"), 10).count() == 4
     assert hamming.top_k(df.where("false"), df.where("false"), 3).count() == 0
+
+
+def test_scores_without_training_words(spark):
+    """Tasks whose rows hold no word, or no training row at all."""
+    rows = [(i, None if i % 2 else " \n ") for i in range(30)]
+    got = lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert len(got) == 30 and all(r["n_tokens"] == 1 and r["n_known"] == 1 and -0.5 < r["score"] < 0 for r in got)
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    got = lmscore.scored(spark.createDataFrame([(i, "only held out") for i in held], "doc_id long, text string")).collect()
+    assert [(r["train_tokens"], r["n_tokens"], r["n_known"], r["base_score"]) for r in got] == [(0, 4, 0, 0.0)] * 3

@@ -376,13 +376,128 @@ def test_scores(spark, docs):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    w, bias = rng.normal(size=(lmscore.FEATURES, lmscore.CLASSES)).astype(np.float32), rng.normal(size=lmscore.CLASSES).astype(np.float32)
-    lexicon = lmscore.Lexicon(["a", "b"], np.array([1, 2]))
-    _, y, f = lmscore.history(lexicon, ["a", "q", "b", "a"])
-    assert y.tolist() == [1, lmscore.form_class("q"), 2, 1, lmscore.END] and f.shape == (5, 3)
-    assert np.allclose(np.exp(lmscore.class_logs(w, bias, f)).sum(axis=1), 1, atol=1e-5)
+def plain_scores(docs, share):
+    """op8 by dictionaries and loops; share tells the round of an id. Only the k-means is the module's."""
+    tokens = {i: WORD.findall(lower(t)) for i, t in docs.items()}
+    learn = [i for i in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for i in learn for w in tokens[i])
+    head = sorted(c, key=lambda w: (-c[w], w))
+    n, width = min(len(head), lmscore.CLUSTERED), min(len(head), lmscore.CONTEXTS) + 1
+    place = {w: k for k, w in enumerate(head)}
+    near = np.zeros((n, width), np.float32)
+    for i in learn:
+        at = [place[w] for w in tokens[i]] + [width]  # the end stands near words, too
+        for x, k in enumerate(at[:-1]):
+            for y in (x - 2, x - 1, x + 1, x + 2):
+                if k < n and 0 <= y < len(at):
+                    near[k, min(at[y], width - 1)] += 1
+    m = np.sqrt(near)
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+    weight = 1 / np.sqrt(np.arange(1, n + 1))
+    of = lmscore._centred(m, weight, min(lmscore.LEARNED, n)) + 1
+    where = {}
+    for k in set(of.tolist()):
+        own = np.flatnonzero(of == k)
+        for j, part in zip(own.tolist(), lmscore._centred(m[own], weight[own], min(lmscore.INNER, len(own))).tolist(), strict=True):
+            where[head[j]] = (k, part)
+
+    def both(w):
+        if w is None:
+            return (0, 0)
+        if w in where:
+            return where[w]
+        raw = w.encode()
+        return (1 + lmscore.LEARNED + zlib.crc32(raw[-2:]) % lmscore.BY_FORM, zlib.crc32(raw) % 4096 // 256)
+
+    def steps(i):
+        past = [None] * 3
+        for w in [*tokens[i], None]:
+            a, b, d = (lmscore.START if x is None else both(x)[0] for x in past[::-1][:3])
+            slot = 0 if past[-1] is None else zlib.crc32(past[-1].encode()) % 4096
+            k, part = both(w)
+            yield w, k, part, (("w", slot), ("n", a, b), ("s", b, d)), (("w", k, slot % 512), ("n", k, a), ("s", k, b))
+            past.append(w)
+
+    seen, distinct = Counter(), Counter()
+    for w, times in [*c.items(), (None, len(learn))]:
+        seen[both(w)] += times
+        distinct[both(w)] += 1
+    inside = {x: seen[x] + distinct[x] + (lmscore.FORM <= x[0] < lmscore.START) for x in {*seen, *((k, p) for k in range(lmscore.FORM, lmscore.START) for p in range(16))}}
+    mass = {x: seen[x] + 0.5 for x in inside}
+    outer_mass = {k: sum(v for x, v in mass.items() if x[0] == k) for k in {x[0] for x in inside}}
+
+    def shares(bias, weights, features):
+        e = {y: v * math.exp(sum(weights[f, y] for f in features)) for y, v in bias.items()}
+        return {y: v / sum(e.values()) for y, v in e.items()}
+
+    inner_mass = {k: {p: v for (j, p), v in mass.items() if j == k} for k in outer_mass}
+    models = defaultdict(float), defaultdict(float)
+    for turn in range(lmscore.ROUNDS):
+        sums = defaultdict(float), defaultdict(float)
+        expected = defaultdict(float), defaultdict(float)
+        for i in learn:
+            if share[i] == turn:
+                for _, k, part, f, g in steps(i):
+                    for level, y, features, bias in ((0, k, f, outer_mass), (1, part, g, inner_mass[k])):
+                        p = shares(bias, models[level], features)
+                        for x in features:
+                            sums[level][x, y] += 1
+                            for z, v in p.items():
+                                expected[level][x, z] += v
+        for level in (0, 1):
+            for x, v in expected[level].items():
+                models[level][x] += lmscore.STEP * math.log1p((sums[level][x] - v) / (v + lmscore.SMOOTH))
+    out = {}
+    for i in docs:
+        total = 0.0
+        for w, k, part, f, g in steps(i):
+            times = len(learn) if w is None else c[w]
+            total += math.log10(shares(outer_mass, models[0], f)[k] * shares(inner_mass[k], models[1], g)[part] * (times + 1) / inside[k, part])
+        out[i] = total
+    return out
+
+
+def test_scores_of_the_model(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(51)
+    vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6))) for _ in range(60)]
+    docs = {i: " ".join(vocabulary[min(int(rng.expovariate(0.08)), 59)] for _ in range(rng.randint(0, 40))) for i in range(60)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
+    share = {r["doc_id"]: r["s"] for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(lmscore.ROUNDS)).alias("s")).collect()}
+    want = plain_scores(docs, share)
+    got = {r["doc_id"]: r["score"] for r in lmscore.scored(df).collect()}
+    assert got == {i: pytest.approx(s, rel=1e-4, abs=1e-4) for i, s in want.items()}
+
+
+def test_words_outside_of_the_head(spark):
+    """With a head of 40 words, most are met in the join."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(52)
+    docs = {i: " ".join(f"w{rng.randrange(300)}" for _ in range(30)) for i in range(50)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    c = Counter(w for i, t in docs.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split())
+    head, counts, others = lmscore.headed(spark.createDataFrame([*c.items(), (None, 1)], "word string, c long"), 40)
+    rest = {r["word"]: r["c"] for r in others.collect()}
+    assert 30 <= len(head) <= 40 and {**rest, **dict(zip(head, counts.tolist(), strict=True))} == c and min(counts) >= max(rest.values())
+    for r in lmscore.numbered(df, head).collect():
+        w = docs[r["doc_id"]].split()
+        assert [x < 40 for x in r["codes"]] == [*(x in head for x in w), False] and r["codes"][-1] == lmscore.LAST
+        assert sorted(r["times"]) == sorted(Counter(x for x in w if x not in head).values())
+    met = {r["doc_id"]: r for r in lmscore.numbered(df, head).collect()}
+    keys = {(r["k1"], r["k2"]): r["word"] for r in spark.createDataFrame([(w,) for w in c], "word string").select("word", *lmscore._keys(F.col("word"))).collect()}
+    for i, t in docs.items():
+        want = {w: k for w, k in Counter(t.split()).items() if w not in head and w in c}
+        assert {keys[a, b]: k for a, b, k in zip(met[i]["k1"], met[i]["k2"], met[i]["times"], strict=True) if (a, b) in keys} == want
+
+
+def test_other_codes_agree(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["a", "é", "ab", "wörd", "😀", "longer-word", "x" * 90]
+    rows = spark.createDataFrame([(t,) for t in texts], "w string").select("w", lmscore._other_code(F.col("w")).alias("n")).collect()
+    assert {r["w"]: r["n"] for r in rows} == {t: lmscore.other_code(t.encode()) for t in texts}
 
 
 # op9

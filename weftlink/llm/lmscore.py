@@ -1,25 +1,29 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-P(token | history) = P(class | history) x P(token | class). The class softmax has hashed features of the
-history: the last word, the last two classes (n-grams), and the two classes before the last (a skip). Its
-weights are trained by distributed gradient updates: in each round every task sums the gradient and its
-diagonal scale over its share of the training documents (each document is in one round), the sums are added
-by blocks of features, and the driver makes one step. Inside a class a token has (c + 1) / (sum of c + 1 over
-the class + 1), the maximum-entropy solution for features of the word alone, where the last 1 is for all
-words of the class that training hasn't seen: so the probabilities of a history sum to 1.
+P(token | history) = P(class | history) x P(part | class, history) x P(token | part). Both softmaxes have hashed
+features of the history: the last word, the last two classes (n-grams), and what stands before the last
+(a skip); those of the second belong to the class whose parts they tell apart. The weights are trained by
+distributed gradient updates: in each round every task sums the gradients and their diagonal scales over its
+share of the training documents (each document is in one round), the sums are added in a tree of tasks, and
+the driver makes one step. In a part of a class a token has (c + 1) / (sum of c + 1 over the part, and 1 more
+for all words that training hasn't seen, where such words can be), the maximum-entropy solution for the word
+alone: so the probabilities of a history sum to 1.
 
 Classes: the CLUSTERED most frequent words are clustered by the words that stand near them, over all
-training documents; any other word has a class by its last two bytes, so it needs no table; the end has its
-own.
-
-Counts are whole: every training token is counted, in a table of the shared folder. The HEAD words are a
-table of bounded size that each task holds; other tokens meet their counts in a join on a 64-bit hash of the
-word. What is broadcast or collected is bounded by HEAD, CLASSES and FEATURES, however large the corpus.
-
-Defined results: a null text counts as empty, which is the end token alone; without training tokens N and V
-are 0 and both scores take every token as unseen; rows with the same doc_id are rows of their own; a null
-doc_id counts as the empty text for holding out. An empty table gives an empty result. Other columns are
-ignored.
+training documents, and each class so again into parts; any other word has a class by its last two bytes and
+a part by a hash, so it needs no table; the end has its own.
+
+Texts are split into words twice: to count these, and to write them as numbers, which is all that the
+clustering, the training and the scoring read. Counts are whole: every training token is counted, in a table of
+the shared folder. At most HEAD frequent words are a table that each task holds; other tokens meet their counts
+in a join on 128 bits of hash of the word. What is broadcast or collected is bounded by HEAD, CLASSES and
+FEATURES, however large the corpus.
+
+Defined results: a null text counts as empty, which is the end token alone; a very long text is read whole, its
+numbers a block at a time; without training tokens N and V are 0 and both scores take every token as unseen; rows
+with the same doc_id are rows of their own; a null doc_id counts as the empty text for holding out; of words of
+one frequency at the end of the head, those with the lesser hashes are in it. An empty table gives an empty result.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +31,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -39,19 +45,28 @@ from weftlink.llm import common
 
 #: Words that tasks hold, those of them that are clustered, longest of them, words whose company tells, held-out remainder.
 HEAD, CLUSTERED, LONGEST, CONTEXTS, HELD, PARTS = 65_536, 8_192, 48, 128, 2, 7
-#: Classes: the end, of frequent words, of other words by their last bytes, one that stands before a text.
-END, LEARNED, BY_FORM = 0, 23, 7
-START = 1 + LEARNED + BY_FORM
+#: Classes: the end, of frequent words, of other words by their last bytes, one that stands before a text. Parts of a class.
+END, LEARNED, BY_FORM, INNER = 0, 23, 7, 16
+FORM = 1 + LEARNED
+START = FORM + BY_FORM
 CLASSES = START + 1
 #: Hashed words of the history; all features: those, pairs of classes, skipped pairs.
 HASHED = 4096
 FEATURES = HASHED + 2 * CLASSES * CLASSES
-#: Rounds, step (there are 3 features a token), smoothing of the scale, features of a block of gradient, tokens at a time.
-ROUNDS, STEP, SMOOTH, SLAB, BLOCK = 3, 0.5, 4.0, 512, 1 << 15
-#: Words that a task counts before it hands them on.
-COUNTED = 200_000
+#: The same for the parts of one class: hashed words, the last class, the class before it.
+HASHED_INNER = 512
+WIDTH = HASHED_INNER + 2 * CLASSES
+FEATURES_INNER = CLASSES * WIDTH
+#: Numbers of tokens: head words by place, other words by class and hash, the end.
+LAST = HEAD + BY_FORM * HASHED
+#: Rounds, step (there are 3 features a token), smoothing of the scale, tokens at a time.
+ROUNDS, STEP, SMOOTH, BLOCK = 3, 0.5, 4.0, 1 << 14
+#: Words that a task counts or numbers before it forgets them; numbers of a piece of a sum; tasks that are summed at a time.
+COUNTED, SLAB, FAN = 200_000, 1 << 15, 64
 _WORDS = re.compile(common.WORD)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Seeds of the two halves of a word's key, as Spark's xxhash64(word) and xxhash64(7, word) have them.
+_SEEDS = 42, xxh64_intdigest((7).to_bytes(4, "little"), seed=42)
 
 
 def words(text: str | None) -> list[str]:
@@ -62,276 +77,375 @@ def words(text: str | None) -> list[str]:
     return _WORDS.findall(low)
 
 
-def word_key(word: str) -> int:
-    h = xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=8)
-    return h - (1 << 64) if h >> 63 else h
+def other_code(raw: bytes) -> int:
+    """Number of a word outside of the head: its class by the last two bytes, and its hash."""
+    return HEAD + zlib.crc32(raw[-2:]) % BY_FORM * HASHED + zlib.crc32(raw) % HASHED
 
 
-def form_class(word: str) -> int:
-    return 1 + LEARNED + zlib.crc32(word.encode("utf-8", "surrogatepass")[-2:]) % BY_FORM
+def _other_code(word: Column) -> Column:
+    raw = word.cast("binary")
+    form = F.pmod(F.crc32(F.when(F.length(raw) > 2, F.substring(raw, -2, 2)).otherwise(raw)), F.lit(BY_FORM))
+    return (HEAD + form * HASHED + F.pmod(F.crc32(raw), F.lit(HASHED))).cast("int")
 
 
-class Lexicon:
-    """Numbers of words: the head in order of frequency, then others as they are met, forgotten when many."""
+def _keys(word: Column) -> tuple[Column, Column]:
+    return F.xxhash64(word).alias("k1"), F.xxhash64(F.lit(7), word).alias("k2")
 
-    def __init__(self, head: list[str], classes: np.ndarray):
-        self.head, self.classes = head, classes
-        self.clear()
 
-    def clear(self) -> None:
-        self.known = {w: i for i, w in enumerate(self.head)}
-        self.class_of, self.slot_of = np.zeros(len(self.head) + 2 * COUNTED, np.int64), np.zeros(len(self.head) + 2 * COUNTED, np.int64)
-        self.class_of[: len(self.head)] = self.classes
-        self.slot_of[: len(self.head)] = [_slot(w) for w in self.head]
+def _training(doc_id: str = "doc_id") -> Column:
+    return common.remainder(F.col(doc_id), PARTS) != HELD
 
-    def numbers(self, tokens: list[str]) -> np.ndarray:
-        if len(self.known) > len(self.head) + COUNTED:
-            self.clear()
-        known = self.known
-        new = set(tokens).difference(known)
-        if new:
-            first, last = len(known), len(known) + len(new)
-            if last > len(self.class_of):
-                self.class_of, self.slot_of = np.resize(self.class_of, 2 * last), np.resize(self.slot_of, 2 * last)
-            raw = [w.encode("utf-8", "surrogatepass") for w in new]
-            self.class_of[first:last] = [1 + LEARNED + zlib.crc32(r[-2:]) % BY_FORM for r in raw]
-            self.slot_of[first:last] = [zlib.crc32(r) % HASHED for r in raw]
-            known.update(zip(new, range(first, last), strict=True))
-        return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
 
-
-def _slot(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % HASHED
-
-
-def history(lexicon: Lexicon, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of the tokens; with the end, classes of all and the 3 features of what stands before each."""
-    n = lexicon.numbers(tokens)
-    c = np.concatenate([[START] * 3, lexicon.class_of[n]])
-    word = np.concatenate([[0], lexicon.slot_of[n]])
-    pair = HASHED + c[2:] * CLASSES + c[1:-1]
-    skip = HASHED + CLASSES * CLASSES + c[1:-1] * CLASSES + c[:-2]
-    return n, np.append(c[3:], END), np.stack([word, pair, skip], axis=1)
-
-
-def class_logs(w: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probabilities of all classes."""
-    z = w[features[:, 0]] + w[features[:, 1]]
-    z += w[features[:, 2]]
-    z += bias
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def _training(docs: DataFrame) -> DataFrame:
-    return docs.where(common.remainder(F.col("doc_id"), PARTS) != HELD)
+def _texts(batch: pa.RecordBatch, step: int = 256) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        yield part, part.column("text").to_pylist()
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """word (null: the end), c: how often each token stands in docs (text)."""
+    schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         ends = 0
 
-        def ready() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(seen), "c": list(seen.values())})
+        def ready(words: list, c: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(c, pa.int64())], schema=schema)
 
         for batch in batches:
-            for text in batch["text"]:
-                seen.update(words(text))
-                ends += 1
+            for _, texts in _texts(batch):
+                for text in texts:
+                    seen.update(words(text))
+                ends += len(texts)
                 if len(seen) > COUNTED:
-                    yield ready()
+                    yield ready(list(seen), list(seen.values()))
                     seen.clear()
-        yield ready()
-        yield pd.DataFrame({"word": [None], "c": [ends]})
+        yield ready([*seen, None], [*seen.values(), ends])
+
+    return docs.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0")
+
+
+def headed(vocabulary: DataFrame, most: int = HEAD) -> tuple[list[str], np.ndarray, DataFrame]:
+    """The most frequent words, at most so many, their counts, and the rows of all other words.
+
+    Words fall into narrow steps of their frequency, and those of the step that the limit cuts into further ones by
+    hash. What comes to the driver is a histogram, and then the words themselves."""
+    own = vocabulary.where("word is not null").withColumns({"step": F.floor(F.log2("c") * 64).cast("int"), "bin": F.shiftrightunsigned(F.xxhash64("word"), 52).cast("int")})
+    short = F.length("word") <= LONGEST
+    left, least, cut, bins = most, 1 << 30, -1, -1
+    for r in sorted(own.where(short).groupBy("step").count().collect(), reverse=True):  # 64 for each doubling of the count
+        if r["count"] > left:
+            cut = r["step"]
+            break
+        left, least = left - r["count"], r["step"]
+    if cut >= 0:
+        for r in sorted(own.where(short & (F.col("step") == cut)).groupBy("bin").count().collect()):  # 4096 at most
+            if r["count"] > left:
+                break
+            left, bins = left - r["count"], r["bin"]
+    inside = short & ((F.col("step") >= least) | (F.col("step") == cut) & (F.col("bin") <= bins))
+    top = sorted(own.where(inside).select("word", "c").collect(), key=lambda r: (-r["c"], r["word"]))
+    return [r["word"] for r in top], np.array([r["c"] for r in top], np.int64), own.where(~inside).select("word", "c")
+
+
+def numbered(docs: DataFrame, head: list[str]) -> DataFrame:
+    """row, doc_id, codes (the numbers of the tokens, the end with them), and of the words outside of the head
+    k1, k2 (halves of a hash of the word) and times."""
+    sent = docs.sparkSession.sparkContext.broadcast(head)
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("k1", longs), ("k2", longs), ("times", pa.list_(pa.int32()))])
 
-    return docs.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0")
+    def listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
 
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        n = len(sent.value)
+        code, keys = np.zeros(0, np.int32), np.zeros((2, 0), np.int64)
 
-def clustered(docs: DataFrame, head: list[str]) -> np.ndarray:
-    """Classes of the head words: k-means on what stands before them in all of docs."""
-    k = min(LEARNED, max(1, len(head)))
-    if len(head) <= k:
-        return np.arange(1, len(head) + 1)
-    width = min(CONTEXTS, len(head)) + 1
-    sent = docs.sparkSession.sparkContext.broadcast(head)
+        def forget() -> None:
+            nonlocal code, keys
+            known.clear()
+            known.update(zip(sent.value, range(n), strict=True))
+            code, keys = np.arange(n + 2 * COUNTED, dtype=np.int32), np.zeros((2, n + 2 * COUNTED), np.int64)
+
+        def learn(new: list[str]) -> None:
+            nonlocal code, keys
+            first, last = len(known), len(known) + len(new)
+            if last > len(code):
+                code, keys = np.resize(code, 2 * last), np.concatenate([keys, np.zeros((2, 2 * last - len(code)), np.int64)], axis=1)
+            raw = [w.encode("utf-8", "surrogatepass") for w in new]
+            code[first:last] = list(map(other_code, raw))
+            for half, seed in enumerate(_SEEDS):
+                keys[half, first:last] = np.array([xxh64_intdigest(r, seed=seed) for r in raw], np.uint64).view(np.int64)
+            known.update(zip(new, range(first, last), strict=True))
+
+        forget()
+        for batch in batches:
+            for part, texts in _texts(batch):
+                if len(known) > n + COUNTED:
+                    forget()
+                tokens = [words(t) for t in texts]
+                learn(list(set().union(*tokens).difference(known)))
+                sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+                at = np.fromiter((known[w] for t in tokens for w in t), np.int64, int(sizes.sum()))
+                doc = np.repeat(np.arange(len(tokens)), sizes)
+                # each word outside of the head once for each text
+                rare = at >= n
+                cells, times = np.unique(doc[rare] * len(code) + at[rare], return_counts=True)
+                many = np.bincount(cells // len(code), minlength=len(tokens))
+                found = keys[:, cells % len(code)]
+                with_ends = np.full(len(at) + len(tokens), LAST, np.int32)
+                with_ends[np.arange(len(at)) + doc] = code[at]
+                lists = [listed(with_ends, sizes + 1), listed(found[0], many), listed(found[1], many), listed(times.astype(np.int32), many)]
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), *lists], schema=schema)
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(number, "row long, doc_id long, codes array<int>, k1 array<long>, k2 array<long>, times array<int>")
+
+
+def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Texts of a batch in groups of about BLOCK tokens: the place of the first, all numbers, where each text begins."""
+    codes = batch.column("codes")
+    offsets = codes.offsets.to_numpy().astype(np.int64)
+    values = codes.values.to_numpy()
+    first = 0
+    while first < len(offsets) - 1:
+        stop = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK, "right")) - 1)
+        yield first, values[offsets[first] : offsets[stop]], offsets[first:stop] - offsets[first]
+        first = stop
+
+
+class Tables:
+    """What the model knows of each number: class, part of the class, hash in histories."""
+
+    def __init__(self, head: list[str], classes: np.ndarray, parts: np.ndarray):
+        self.of = np.zeros(LAST + 1, np.int64)
+        self.part = np.zeros(LAST + 1, np.int64)
+        self.slot = np.zeros(LAST + 1, np.int64)
+        n = len(head)
+        self.of[:n], self.part[:n] = classes, parts
+        self.slot[:n] = [zlib.crc32(w.encode("utf-8", "surrogatepass")) % HASHED for w in head]
+        other = np.arange(LAST - HEAD)
+        self.of[HEAD:LAST], self.slot[HEAD:LAST] = FORM + other // HASHED, other % HASHED
+        self.part[HEAD:LAST] = self.slot[HEAD:LAST] * INNER // HASHED
+
+    def features(self, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Classes and parts of the tokens, and the 3 features of what stands before each, for both softmaxes."""
+        c = self.of[codes]
+        before = np.full((3, len(c)), START)
+        for k in range(3):
+            before[k, k + 1 :] = c[: len(c) - k - 1]
+            for j in range(k + 1):  # what stands before a text
+                before[k, (firsts + j)[firsts + j < len(c)]] = START
+        word = np.zeros(len(c), np.int64)
+        word[1:] = self.slot[codes[:-1]]
+        word[firsts] = 0
+        outer = np.stack([word, HASHED + before[0] * CLASSES + before[1], HASHED + CLASSES * CLASSES + before[1] * CLASSES + before[2]])
+        inner = c * WIDTH + np.stack([word % HASHED_INNER, HASHED_INNER + before[0], HASHED_INNER + CLASSES + before[1]])
+        return c, self.part[codes], outer, inner
+
+
+def softmax_logs(w: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities. bias: one row, or one for each token."""
+    z = w[features[0]]
+    z += w[features[1]]
+    z += w[features[2]]
+    z += bias
+    z -= z.max(axis=1, keepdims=True)
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = {w: i for i, w in enumerate(sent.value)}.get
-        seen = np.zeros(len(sent.value) * width, np.int32)
 
-        def add(n: np.ndarray) -> None:
-            # both neighbours at up to two words tell of the company a word keeps; -2 parts documents
-            for step in (1, 2):
-                for x, y in ((n[step:], n[:-step]), (n[:-step], n[step:])):
-                    far = np.where((y < 0) | (y >= width - 1), width - 1, y)
-                    np.add.at(seen, (x * width + far)[x >= 0], 1)
+def summed(rows: DataFrame, sizes: Callable[[int], int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Sums of arrays that tasks give in pieces (task, piece, sums), in a tree: no task adds more than FAN tasks'."""
 
-        held: list[int] = []
+    def added(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
         for batch in batches:
-            for text in batch["text"]:
-                held += [get(w, -1) for w in words(text)]
-                held += [-2, -2]
-                if len(held) > 8 * BLOCK:
-                    add(np.array(held, np.int64))
-                    held = []
-        add(np.array([-2, -2, *held], np.int64))
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"cell": at, "c": seen[at]})
-
-    cells = docs.select("text").mapInPandas(neighbours, "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c"))
-    rows = cells.groupBy((F.col("cell") / width).cast("int").alias("word")).agg(F.collect_list(F.struct((F.col("cell") % width).cast("int").alias("x"), "c")).alias("cells"))
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batch["sums"]:
+                x = np.frombuffer(b, "<f4").astype(np.float64)
+                total = x if total is None else total + x
+        yield pd.DataFrame({"task": [key[1]], "piece": [key[0]], "sums": [total.astype("<f4").tobytes()]})
+
+    tasks = rows.rdd.getNumPartitions()
+    while True:
+        tasks = -(-tasks // FAN)
+        rows = rows.withColumn("task", F.floor(F.col("task") / FAN).cast("int")).groupBy("piece", "task").applyInPandas(added, "task int, piece int, sums binary")
+        if tasks <= 1:
+            break
+    for r in rows.collect():  # as many numbers as the sums have
+        yield r["piece"], np.frombuffer(r["sums"], "<f4")[: sizes(r["piece"])]
+
+
+def _pieces(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's sums in pieces; those of zeros alone are left out."""
+    task, flat = TaskContext.get().partitionId(), sums.reshape(-1)
+    for piece, at in enumerate(range(0, len(flat), SLAB)):
+        if flat[at : at + SLAB].any():
+            raw = flat[at : at + SLAB].astype("<f4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([piece], pa.int32()), pa.array([raw], pa.binary())], names=["task", "piece", "sums"])
+
+
+def total(docs: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> np.ndarray:
+    """An array that add(sums, numbers of a group of texts, their places) adds up over docs (codes)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(shape, np.float32)
         for batch in batches:
-            made = []
-            for cell in batch["cells"]:
-                v = np.zeros(width, np.float32)
-                for x in cell:
-                    v[x["x"]] = x["c"]
-                made.append(np.sqrt(v).astype("<f4").tobytes())
-            yield pd.DataFrame({"word": batch["word"], "v": made})
-
-    m = np.zeros((len(head), width), np.float32)
-    for r in rows.mapInPandas(packed, "word int, v binary").collect():  # CLUSTERED rows of fixed size at most
-        m[r["word"]] = np.frombuffer(r["v"], "<f4")
-    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-    centres, assigned = m[:k].copy(), np.zeros(len(head), int)
-    weight = 1 / np.sqrt(np.arange(1, len(head) + 1))  # about the words' shares
+            for _, codes, firsts in groups(batch):
+                add(sums, codes, firsts)
+        yield from _pieces(sums)
+
+    out = np.zeros(int(np.prod(shape)), np.float32)
+    parts = docs.select("codes").mapInArrow(run, "task int, piece int, sums binary")
+    for piece, sums in summed(parts, lambda p: min(SLAB, len(out) - p * SLAB)):
+        out[piece * SLAB : piece * SLAB + len(sums)] = sums
+    return out.reshape(shape)
+
+
+def _centred(m: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """k-means by cosine, from the first k rows on."""
+    centres, assigned = m[:k].copy(), np.zeros(len(m), int)
     for _ in range(15):
         assigned = (m @ centres.T).argmax(axis=1)
         for c in range(k):
             if (own := assigned == c).any():
                 centre = (m[own] * weight[own, None]).sum(axis=0)
                 centres[c] = centre / max(np.linalg.norm(centre), 1e-9)
-    return assigned + 1
+    return assigned
+
+
+def clustered(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes and parts of the n most frequent words: k-means on what stands near them in all of docs (codes)."""
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    width = min(CONTEXTS, n) + 1
+
+    def add(sums: np.ndarray, codes: np.ndarray, firsts: np.ndarray) -> None:
+        # both neighbours at up to two words tell of the company a word keeps
+        flat = sums.reshape(-1)
+        text = np.zeros(len(codes), np.int64)
+        text[firsts] = 1
+        text = np.cumsum(text)
+        far = np.minimum(codes, width - 1)
+        for step in (1, 2):
+            same = text[step:] == text[:-step]
+            for x, y in ((codes[step:], far[:-step]), (codes[:-step], far[step:])):
+                ok = same & (x < n)
+                np.add.at(flat, x[ok].astype(np.int64) * width + y[ok], np.float32(1))
+
+    m = np.sqrt(total(docs, (n, width), add))
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+    weight = 1 / np.sqrt(np.arange(1, n + 1))  # about the words' shares
+    of, parts = _centred(m, weight, min(LEARNED, n)), np.zeros(n, np.int64)
+    for c in np.unique(of):
+        own = np.flatnonzero(of == c)
+        parts[own] = _centred(m[own], weight[own], min(INNER, len(own)))
+    return of + 1, parts
 
 
-def trained(docs: DataFrame, head: list[str], classes: np.ndarray, bias: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights of the class softmax after one pass over docs in as many rounds."""
+def trained(docs: DataFrame, tables: Tables, biases: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of both softmaxes after one pass over docs (doc_id, codes) in as many rounds."""
     sc = docs.sparkSession.sparkContext
-    w = np.zeros((FEATURES, CLASSES), np.float32)
+    shapes = (FEATURES, CLASSES), (FEATURES_INNER, INNER)
+    w = [np.zeros(s, np.float32) for s in shapes]
+    sizes = [x.size for x in w]
     for turn in range(rounds):
-        sent = sc.broadcast((head, classes, bias, w))
-
-        def gradients(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            head, classes, bias, w = sent.value
-            lexicon = Lexicon(head, classes)
-            seen, expected = np.zeros((FEATURES, CLASSES), np.float32), np.zeros((FEATURES, CLASSES), np.float32)
-            flat = seen.reshape(-1)
-
-            def add(features: np.ndarray, y: np.ndarray) -> None:
-                p = np.exp(class_logs(w, bias, features))
-                for k in range(3):
-                    f = features[:, k]
-                    np.add.at(flat, f * CLASSES + y, np.float32(1))
-                    order = np.argsort(f.astype(np.uint16), kind="stable")  # small integers sort by radix
-                    ranked = f[order]
-                    firsts = np.flatnonzero(np.diff(ranked, prepend=-1))
-                    expected[ranked[firsts]] += np.add.reduceat(p[order], firsts, axis=0)
-
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            n = 0
-            for batch in batches:
-                for text in batch["text"]:
-                    _, y, features = history(lexicon, words(text))
-                    for at in range(0, len(y), BLOCK):
-                        held.append((features[at : at + BLOCK], y[at : at + BLOCK]))
-                        n += len(held[-1][1])
-                        if n >= BLOCK:
-                            add(np.concatenate([f for f, _ in held]), np.concatenate([y for _, y in held]))
-                            held, n = [], 0
-            if held:
-                add(np.concatenate([f for f, _ in held]), np.concatenate([y for _, y in held]))
-            for at in range(0, FEATURES, SLAB):
-                if seen[at : at + SLAB].any():
-                    both = np.stack([seen[at : at + SLAB], expected[at : at + SLAB]])
-                    yield pd.DataFrame({"slab": [at], "sums": [both.astype("<f4").tobytes()]})
-
-        def added(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = None
-            for batch in batches:
-                for b in batch["sums"]:
-                    x = np.frombuffer(b, "<f4").astype(np.float64)
-                    total = x if total is None else total + x
-            yield pd.DataFrame({"slab": [key[0]], "sums": [total.astype("<f4").tobytes()]})
-
-        share = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == turn).select("text")
-        parts = share.mapInPandas(gradients, "slab int, sums binary")
-        # a group has one row of fixed size from each task, and is read a batch at a time
-        sums = parts.groupBy("slab").applyInPandas(added, "slab int, sums binary")
-        for r in sums.collect():  # FEATURES x CLASSES numbers, twice
-            seen, expected = np.frombuffer(r["sums"], "<f4").reshape(2, -1, CLASSES)
+        sent = sc.broadcast((tables, biases, w))
+
+        def add(sums: np.ndarray, codes: np.ndarray, firsts: np.ndarray, sent=sent) -> None:
+            tables, biases, w = sent.value
+            c, part, outer, inner = tables.features(codes, firsts)
+            at = 0
+            for k, (y, features) in enumerate(((c, outer), (part, inner))):
+                seen = sums[at : at + sizes[k]]
+                expected = sums[at + sizes[k] : at + 2 * sizes[k]].reshape(shapes[k])
+                at += 2 * sizes[k]
+                for lo in range(0, len(y), BLOCK):
+                    f, own = features[:, lo : lo + BLOCK], y[lo : lo + BLOCK]
+                    p = softmax_logs(w[k], biases[k] if k == 0 else biases[k][c[lo : lo + BLOCK]], f)
+                    np.exp(p, out=p)
+                    for each in f:
+                        np.add.at(seen, each * shapes[k][1] + own, np.float32(1))
+                        order = np.argsort(each.astype(np.uint16), kind="stable")  # small integers sort by radix
+                        ranked = each[order]
+                        starts = np.flatnonzero(np.diff(ranked, prepend=-1))
+                        expected[ranked[starts]] += np.add.reduceat(p[order], starts, axis=0)
+
+        share = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == turn)
+        sums, at = total(share, (2 * sum(sizes),), add), 0
+        for k, shape in enumerate(shapes):
+            seen, expected = (sums[at + j * sizes[k] : at + (j + 1) * sizes[k]].reshape(shape) for j in range(2))
+            at += 2 * sizes[k]
             # the gradient is seen - expected; its logarithmic scale is that of iterative scaling
-            w[r["slab"] : r["slab"] + len(seen)] += STEP * np.log1p((seen - expected) / (expected + SMOOTH))
+            w[k] += STEP * np.log1p((seen - expected) / (expected + SMOOTH))
         sent.unpersist()
-    return w
+    return w[0], w[1]
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """The result of op8 for docs (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    learn = _training(docs)
-    vocabulary = common.stored(counted(learn), "vocabulary")
+    vocabulary = common.stored(counted(docs.where(_training())), "vocabulary")
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # rarer words than about the HEAD-th don't go to the driver from every task
-    short = vocabulary.where(F.length("word") <= LONGEST)
-    least = short.agg(F.percentile_approx("c", 1 - min(1.0, 1.05 * HEAD / max(v, 1)), 100_000)).first()[0] or 0
-    top = short.where(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    head, counts = [r["word"] for r in top], np.array([r["c"] for r in top], np.int64)
-    classes = np.array([form_class(w) for w in head], np.int64)
-    classes[:CLUSTERED] = clustered(learn, head[:CLUSTERED])
     ends = vocabulary.where("word is null").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-
-    # what each class has of tokens and distinct words
-    tokens, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
-    tokens[END], distinct[END] = ends, int(ends > 0)
-    np.add.at(tokens, classes, counts)
-    np.add.at(distinct, classes, 1)
-    in_head = F.broadcast(spark.createDataFrame([(w,) for w in head], "word string"))
-    tails = vocabulary.where("word is not null").join(in_head, "word", "left_anti")
-
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    head, counts, others = headed(vocabulary)
+    rows = common.stored(numbered(docs, head), "tokens")
+    learn = rows.where(_training())
+
+    classes = np.array([FORM + (other_code(w.encode()) - HEAD) // HASHED for w in head], np.int64)
+    parts = np.array([(other_code(w.encode()) - HEAD) % HASHED * INNER // HASHED for w in head], np.int64)
+    near = min(CLUSTERED, len(head))
+    classes[:near], parts[:near] = clustered(learn, near)
+    # what each part of a class has of tokens, and of them and distinct words
+    tokens, inside = np.zeros((CLASSES, INNER)), np.zeros((CLASSES, INNER))
+    tokens[END, 0], inside[END, 0] = ends, ends + 1
+    np.add.at(tokens, (classes, parts), counts)
+    np.add.at(inside, (classes, parts), counts + 1)
+    code = _other_code(F.col("word")) - HEAD
+    sums = others.groupBy(F.floor(code / HASHED).alias("form"), F.floor(F.pmod(code, F.lit(HASHED)) * INNER / HASHED).alias("part")).agg(F.sum("c").alias("c"), F.count("*").alias("n"))
+    for r in sums.collect():
+        tokens[FORM + r["form"], r["part"]] += r["c"]
+        inside[FORM + r["form"], r["part"]] += r["c"] + r["n"]
+    inside[FORM:START] += 1  # words that training hasn't seen
+    with np.errstate(divide="ignore"):
+        biases = [np.log(np.where(inside > 0, tokens + 0.5, 0).sum(axis=1)), np.log(np.where(inside > 0, tokens + 0.5, 0))]
+        biases = tuple(np.maximum(b, -60).astype(np.float32) for b in biases)  # where nothing can be: no probability
+        logs_inside = np.log10(np.maximum(inside, 1e-300))
+    tables = Tables(head, classes, parts)
+    w = trained(learn, tables, biases)
+    sent = spark.sparkContext.broadcast((tables, counts, biases, w, logs_inside, ends))
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("s1", pa.float64()), ("own", pa.float64())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, counts, biases, w, logs_inside, ends = sent.value
+        known, logs = np.zeros(LAST + 1, bool), np.zeros(LAST + 1)
+        known[: len(counts)], logs[: len(counts)] = True, np.log10(counts + 1.0)
+        known[LAST], logs[LAST] = ends > 0, np.log10(ends + 1.0)
         for batch in batches:
-            yield pd.DataFrame({"key": [word_key(w) for w in batch["word"]], "class": [form_class(w) for w in batch["word"]], "c": batch["c"]})
-
-    tails = common.stored(tails.mapInPandas(keyed, "key long, class int, c long"), "tails")
-    for r in tails.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
-        tokens[r["class"]], distinct[r["class"]] = r["c"], r["n"]
-    bias = np.log((tokens + 0.5) / (tokens + 0.5).sum()).astype(np.float32)
-    w = trained(learn, head, classes, bias)
-    inside = np.log10(tokens + distinct + 1)
-    sent = spark.sparkContext.broadcast((head, classes, counts, bias, w, inside, ends))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, classes, counts, bias, w, inside, ends = sent.value
-        lexicon, logs = Lexicon(head, classes), np.log10(counts + 1.0)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part, made = batch[at : at + 512], []
-                for text in part["text"]:
-                    tokens = words(text)
-                    n, y, features = history(lexicon, tokens)
-                    own = -inside[y].sum()
-                    for lo in range(0, len(y), BLOCK):
-                        f, c = features[lo : lo + BLOCK], y[lo : lo + BLOCK]
-                        own += class_logs(w, bias, f)[np.arange(len(c)), c].sum(dtype=np.float64) / np.log(10)
-                    known = n < len(head)
-                    tail = Counter(tokens[i] for i in np.flatnonzero(~known))
-                    s1 = logs[n[known]].sum() + np.log10(ends + 1.0)
-                    made.append((len(y), int(known.sum()) + int(ends > 0), s1, own, [word_key(x) for x in tail], list(tail.values())))
-                out = pd.DataFrame(made, columns=["n_tokens", "known", "s1", "own", "keys", "times"])
-                yield pd.concat([part[["row", "doc_id"]].reset_index(drop=True), out], axis=1)
-
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    schema = "row long, doc_id string, n_tokens long, known long, s1 double, own double, keys array<long>, times array<long>"
-    rows = common.stored(numbered.mapInPandas(score, schema).withColumn("doc_id", F.col("doc_id").cast("long")), "scores")
-    rest = rows.where(F.size("keys") > 0).select("row", F.explode(F.arrays_zip("keys", "times")).alias("t")).select("row", F.col("t.keys").alias("key"), F.col("t.times").alias("times"))
-    met = rest.join(tails.groupBy("key").agg(F.sum("c").alias("c")), "key").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("s2"))
-    out = rows.drop("keys", "times").join(met, "row", "left")
+            made = []
+            for _, codes, firsts in groups(batch):
+                c, part, outer, inner = tables.features(codes, firsts)
+                own = -logs_inside[c, part]
+                for lo in range(0, len(c), BLOCK):
+                    here = slice(lo, lo + BLOCK)
+                    each = np.arange(len(c[here]))
+                    a = softmax_logs(w[0], biases[0], outer[:, here])[each, c[here]]
+                    b = softmax_logs(w[1], biases[1][c[here]], inner[:, here])[each, part[here]]
+                    own[here] += (a.astype(np.float64) + b) / np.log(10)
+                sizes = np.diff(np.append(firsts, len(codes)))
+                made.append((sizes, *(np.add.reduceat(x, firsts) for x in (known[codes].astype(np.int64), logs[codes], own))))
+            if made:
+                columns = [np.concatenate([m[k] for m in made]) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *map(pa.array, columns)], schema=schema)
+
+    scores = rows.select("row", "doc_id", "codes").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, s1 double, own double")
+    rare = rows.where(F.size("times") > 0).select("row", F.explode(F.arrays_zip("k1", "k2", "times")).alias("t")).select("row", "t.*")
+    met = rare.join(others.select(*_keys(F.col("word")), "c"), ["k1", "k2"]).groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("s2"))
+    out = scores.join(met, "row", "left")
     s = F.col("s1") + F.coalesce("s2", F.lit(0.0))
     return out.select(
         "doc_id",
