@@ -376,12 +376,24 @@ def test_scores(spark, docs):
     assert held.score.sum() > held.base_score.sum()
 
 
+def plain_key(word):
+    """lo, hi (signed) and other of a word."""
+    raw, low = word.encode(), (1 << 64) - 1
+    x = int.from_bytes(raw, "little") | len(raw) << 120 if len(raw) <= 15 else xxhash.xxh3_128_intdigest(raw) | 0xFF << 120
+    lo, hi = x & low, x >> 64
+    m = (lo ^ (hi * 0x9E3779B97F4A7C15 & low)) * 0xBF58476D1CE4E5B9 & low
+    m = (m ^ m >> 31) * 0x94D049BB133111EB & low
+    other = (raw[-1] + (raw[-2] if len(raw) > 1 else 0) * 263) % lmscore.BY_FORM * 4096 + ((m ^ m >> 29) >> 52)
+    return *(v - (1 << 64) if v >> 63 else v for v in (lo, hi)), other
+
+
 def plain_scores(docs, share):
     """op8 by dictionaries and loops; share tells the round of an id. Only the k-means is the module's."""
     tokens = {i: WORD.findall(lower(t)) for i, t in docs.items()}
     learn = [i for i in docs if zlib.crc32(str(i).encode()) % 7 != 2]
     c = Counter(w for i in learn for w in tokens[i])
-    head = sorted(c, key=lambda w: (-c[w], w))
+    other = {w: plain_key(w)[2] for t in tokens.values() for w in t}
+    head = sorted(c, key=lambda w: (-c[w], plain_key(w)[1::-1]))
     n, width = min(len(head), lmscore.CLUSTERED), min(len(head), lmscore.CONTEXTS) + 1
     place = {w: k for k, w in enumerate(head)}
     near = np.zeros((n, width), np.float32)
@@ -406,14 +418,13 @@ def plain_scores(docs, share):
             return (0, 0)
         if w in where:
             return where[w]
-        raw = w.encode()
-        return (1 + lmscore.LEARNED + zlib.crc32(raw[-2:]) % lmscore.BY_FORM, zlib.crc32(raw) % 4096 // 256)
+        return (1 + lmscore.LEARNED + other[w] // 4096, other[w] % 4096 // 256)
 
     def steps(i):
         past = [None] * 3
         for w in [*tokens[i], None]:
             a, b, d = (lmscore.START if x is None else both(x)[0] for x in past[::-1][:3])
-            slot = 0 if past[-1] is None else zlib.crc32(past[-1].encode()) % 4096
+            slot = 0 if past[-1] is None else other[past[-1]] % 4096
             k, part = both(w)
             yield w, k, part, (("w", slot), ("n", a, b), ("s", b, d)), (("w", k, slot % 512), ("n", k, a), ("s", k, b))
             past.append(w)
@@ -472,32 +483,34 @@ def test_scores_of_the_model(spark):
 
 def test_words_outside_of_the_head(spark):
     """With a head of 40 words, most are met in the join."""
-    from pyspark.sql import functions as F
-
     rng = random.Random(52)
     docs = {i: " ".join(f"w{rng.randrange(300)}" for _ in range(30)) for i in range(50)}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-    c = Counter(w for i, t in docs.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split())
-    head, counts, others = lmscore.headed(spark.createDataFrame([*c.items(), (None, 1)], "word string, c long"), 40)
-    rest = {r["word"]: r["c"] for r in others.collect()}
-    assert 30 <= len(head) <= 40 and {**rest, **dict(zip(head, counts.tolist(), strict=True))} == c and min(counts) >= max(rest.values())
+    c = Counter(w for t in docs.values() for w in t.split())
+    key = {plain_key(w)[:2]: w for w in c}
+    vocabulary = lmscore.counted(df)
+    assert {(key[r["lo"], r["hi"]], r["other"]) if r["hi"] is not None else None: r["c"] for r in vocabulary.collect()} == {(w, plain_key(w)[2]): k for w, k in c.items()} | {None: 50}
+    head, others = lmscore.headed(vocabulary, 40)
+    own = {key[a, b]: k for a, b, k in zip(head.lo.tolist(), head.hi.tolist(), head.counts.tolist(), strict=True)}
+    rest = {key[r["lo"], r["hi"]]: r["c"] for r in others.collect()}
+    assert 30 <= len(own) <= 40 and own | rest == c and min(own.values()) >= max(rest.values())
+    place = {w: k for k, w in enumerate(own)}
     for r in lmscore.numbered(df, head).collect():
         w = docs[r["doc_id"]].split()
-        assert [x < 40 for x in r["codes"]] == [*(x in head for x in w), False] and r["codes"][-1] == lmscore.LAST
-        assert sorted(r["times"]) == sorted(Counter(x for x in w if x not in head).values())
-    met = {r["doc_id"]: r for r in lmscore.numbered(df, head).collect()}
-    keys = {(r["k1"], r["k2"]): r["word"] for r in spark.createDataFrame([(w,) for w in c], "word string").select("word", *lmscore._keys(F.col("word"))).collect()}
-    for i, t in docs.items():
-        want = {w: k for w, k in Counter(t.split()).items() if w not in head and w in c}
-        assert {keys[a, b]: k for a, b, k in zip(met[i]["k1"], met[i]["k2"], met[i]["times"], strict=True) if (a, b) in keys} == want
+        assert r["codes"] == [*(place.get(x, lmscore.HEAD + plain_key(x)[2]) for x in w), lmscore.LAST]
+        assert {key[a, b]: k for a, b, k in zip(r["lo"], r["hi"], r["times"], strict=True)} == Counter(x for x in w if x not in own)
 
 
-def test_other_codes_agree(spark):
-    from pyspark.sql import functions as F
+@given(st.lists(st.text(st.sampled_from("aAZ z\t\x0b\x00\x1fé\u00a0\u2028\U0001f600-"), max_size=60) | st.none(), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_split(texts):
+    import pyarrow as pa
 
-    texts = ["a", "é", "ab", "wörd", "😀", "longer-word", "x" * 90]
-    rows = spark.createDataFrame([(t,) for t in texts], "w string").select("w", lmscore._other_code(F.col("w")).alias("n")).collect()
-    assert {r["w"]: r["n"] for r in rows} == {t: lmscore.other_code(t.encode()) for t in texts}
+    whole = pa.array(["x", *texts, "yz"], pa.string())
+    lo, hi, other, sizes = lmscore.split(whole.slice(1, len(texts)))
+    want = [WORD.findall(lower(t)) for t in texts]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert list(zip(lo.tolist(), hi.tolist(), other.tolist(), strict=True)) == [plain_key(x) for w in want for x in w]
 
 
 # op9

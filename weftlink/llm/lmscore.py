@@ -14,9 +14,10 @@ training documents, and each class so again into parts; any other word has a cla
 a part by a hash, so it needs no table; the end has its own.
 
 Texts are split into words twice: to count these, and to write them as numbers, which is all that the
-clustering, the training and the scoring read. Counts are whole: every training token is counted, in a table of
-the shared folder. At most HEAD frequent words are a table that each task holds; other tokens meet their counts
-in a join on 128 bits of hash of the word. What is broadcast or collected is bounded by HEAD, CLASSES and
+clustering, the training and the scoring read. Both read the bytes of many texts at once. A word is known by a key
+of 128 bits: its own bytes and their number if it has up to 15, else 120 bits of hash. Counts are whole: every
+training token is counted, in a table of the shared folder. At most HEAD frequent words are a table that each
+task holds; other tokens meet their counts in a join. What is broadcast or collected is bounded by HEAD, CLASSES and
 FEATURES, however large the corpus.
 
 Defined results: a null text counts as empty, which is the end token alone; a very long text is read whole, its
@@ -28,9 +29,6 @@ Other columns are ignored.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,12 +37,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_intdigest
 
 from weftlink.llm import common
 
-#: Words that tasks hold, those of them that are clustered, longest of them, words whose company tells, held-out remainder.
-HEAD, CLUSTERED, LONGEST, CONTEXTS, HELD, PARTS = 65_536, 8_192, 48, 128, 2, 7
+#: Words that tasks hold, those of them that are clustered, words whose company tells, held-out remainder.
+HEAD, CLUSTERED, CONTEXTS, HELD, PARTS = 65_536, 8_192, 128, 2, 7
 #: Classes: the end, of frequent words, of other words by their last bytes, one that stands before a text. Parts of a class.
 END, LEARNED, BY_FORM, INNER = 0, 23, 7, 16
 FORM = 1 + LEARNED
@@ -61,148 +59,192 @@ FEATURES_INNER = CLASSES * WIDTH
 LAST = HEAD + BY_FORM * HASHED
 #: Rounds, step (there are 3 features a token), smoothing of the scale, tokens at a time.
 ROUNDS, STEP, SMOOTH, BLOCK = 3, 0.5, 4.0, 1 << 14
-#: Words that a task counts or numbers before it forgets them; numbers of a piece of a sum; tasks that are summed at a time.
-COUNTED, SLAB, FAN = 200_000, 1 << 15, 64
-_WORDS = re.compile(common.WORD)
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Seeds of the two halves of a word's key, as Spark's xxhash64(word) and xxhash64(7, word) have them.
-_SEEDS = 42, xxh64_intdigest((7).to_bytes(4, "little"), seed=42)
-
-
-def words(text: str | None) -> list[str]:
-    """Words with A-Z in lower case; the end isn't among them."""
-    if not text:
-        return []
-    low = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
-    return _WORDS.findall(low)
-
-
-def other_code(raw: bytes) -> int:
-    """Number of a word outside of the head: its class by the last two bytes, and its hash."""
-    return HEAD + zlib.crc32(raw[-2:]) % BY_FORM * HASHED + zlib.crc32(raw) % HASHED
-
-
-def _other_code(word: Column) -> Column:
-    raw = word.cast("binary")
-    form = F.pmod(F.crc32(F.when(F.length(raw) > 2, F.substring(raw, -2, 2)).otherwise(raw)), F.lit(BY_FORM))
-    return (HEAD + form * HASHED + F.pmod(F.crc32(raw), F.lit(HASHED))).cast("int")
-
-
-def _keys(word: Column) -> tuple[Column, Column]:
-    return F.xxhash64(word).alias("k1"), F.xxhash64(F.lit(7), word).alias("k2")
+#: Tokens that a task counts together, words that it keeps before it hands them on; numbers of a piece of a sum; tasks
+#: that are summed at a time; texts read together.
+COUNTED, KEPT, SLAB, FAN, TEXTS = 1 << 20, 1 << 20, 1 << 15, 64, 256
+#: Most bytes of a word whose key holds them; bits of a place in the table of the head.
+EXACT, BITS = 15, 18
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def mix(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """64 bits of hash of the keys."""
+    with np.errstate(over="ignore"):
+        m = (lo.view(np.uint64) ^ (hi.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+        m ^= m >> np.uint64(31)
+        m *= np.uint64(0x94D049BB133111EB)
+    return m ^ (m >> np.uint64(29))
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts, A-Z in lower case: halves lo and hi of their keys, their numbers other (class by the last
+    two bytes, hash) outside of the head; and how many each text has."""
+    column = texts.fill_null("").cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    n = int(offsets[-1] - offsets[0])
+    buf = np.full(n + 16, 32, np.uint8)
+    if n:
+        _FOLD.take(np.frombuffer(data, np.uint8, n, int(offsets[0])), out=buf[:n])
+    edges = offsets - offsets[0]
+    ok = ~_BLANK[buf[: n + 1]]
+    begin, end = ok[:n].copy(), ok[:n] & ~ok[1:]
+    begin[1:] &= ~ok[: max(n - 1, 0)]
+    inside = edges[(edges > 0) & (edges < n)]  # words end where a text does
+    begin[inside], end[inside - 1] = ok[inside], ok[inside - 1]
+    starts, stops = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    size = stops - starts
+    eight = np.ndarray((n + 9,), "<u8", buf.data, strides=(1,))  # the 8 bytes from each place on
+    lo = eight[starts] & _MASK[np.minimum(size, 8)]
+    hi = (eight[starts + 8] & _MASK[np.clip(size - 8, 0, 7)]) | (size.astype(np.uint64) << np.uint64(56))
+    for i in np.flatnonzero(size > EXACT).tolist():
+        h = xxh3_128_intdigest(buf[starts[i] : stops[i]])
+        lo[i], hi[i] = h & ((1 << 64) - 1), h >> 64 | 0xFF << 56
+    ending = buf[stops - 1].astype(np.int64) + np.where(size > 1, buf[stops - 2], 0).astype(np.int64) * 263
+    other = ending % BY_FORM * HASHED + (mix(lo, hi) >> np.uint64(64 - 12)).astype(np.int64)
+    return lo.view(np.int64), hi.view(np.int64), other.astype(np.int32), np.diff(np.searchsorted(starts, edges))
 
 
 def _training(doc_id: str = "doc_id") -> Column:
     return common.remainder(F.col(doc_id), PARTS) != HELD
 
 
-def _texts(batch: pa.RecordBatch, step: int = 256) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    for at in range(0, batch.num_rows, step):
-        part = batch.slice(at, step)
-        yield part, part.column("text").to_pylist()
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, TEXTS):
+        yield batch.slice(at, TEXTS)
+
+
+def tally(lo: np.ndarray, hi: np.ndarray, other: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key once, with the sum of its counts."""
+    order = np.argsort(mix(lo, hi))
+    lo, hi, other, c = lo[order], hi[order], other[order], c[order]
+    new = np.ones(len(lo), bool)
+    new[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])  # keys of one hash may stand in turns: those are summed later
+    at = np.flatnonzero(new)
+    return lo[at], hi[at], other[at], np.add.reduceat(c, at) if len(at) else c
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """word (null: the end), c: how often each token stands in docs (text)."""
-    schema = pa.schema([("word", pa.string()), ("c", pa.int64())])
+    """lo, hi, other of each word (nulls: the end), c: how often it stands in docs (text)."""
+    schema = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("other", pa.int32()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        ends = 0
+        kept, waiting, n, ends = [], [], 0, 0
 
-        def ready(words: list, c: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(c, pa.int64())], schema=schema)
+        def added() -> None:
+            nonlocal kept, waiting, n
+            if waiting:
+                kept, waiting, n = [tally(*(np.concatenate(x) for x in zip(*kept, *waiting, strict=True)))], [], 0
 
         for batch in batches:
-            for _, texts in _texts(batch):
-                for text in texts:
-                    seen.update(words(text))
-                ends += len(texts)
-                if len(seen) > COUNTED:
-                    yield ready(list(seen), list(seen.values()))
-                    seen.clear()
-        yield ready([*seen, None], [*seen.values(), ends])
-
-    return docs.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")).where("c > 0")
-
-
-def headed(vocabulary: DataFrame, most: int = HEAD) -> tuple[list[str], np.ndarray, DataFrame]:
-    """The most frequent words, at most so many, their counts, and the rows of all other words.
+            for part in _slices(batch):
+                lo, hi, other, _ = split(part.column("text"))
+                waiting.append((lo, hi, other, np.ones(len(lo), np.int64)))
+                n, ends = n + len(lo), ends + part.num_rows
+                if n >= COUNTED:
+                    added()
+                    if len(kept[0][0]) > KEPT:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, kept[0])), schema=schema)
+                        kept = []
+        added()
+        for x in kept:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, x)), schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([None], t) for t in schema.types[:3]] + [pa.array([ends], pa.int64())], schema=schema)
+
+    return docs.select("text").mapInArrow(count, "lo long, hi long, other int, c long").groupBy("hi", "lo", "other").agg(F.sum("c").alias("c")).where("c > 0")
+
+
+class Head:
+    """The most frequent words: keys, numbers outside of the head, counts, and a hash table of their places."""
+
+    def __init__(self, lo: np.ndarray, hi: np.ndarray, other: np.ndarray, counts: np.ndarray):
+        self.lo, self.hi, self.other, self.counts = lo, hi, other, counts
+        self.table = np.full(1 << BITS, -1, np.int32)
+        for i, at in enumerate(self._place(lo, hi).tolist()):
+            while self.table[at] >= 0:
+                at = (at + 1) % (1 << BITS)
+            self.table[at] = i
+
+    def __len__(self) -> int:
+        return len(self.lo)
+
+    @staticmethod
+    def _place(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return (mix(lo, hi) >> np.uint64(20) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+
+    def find(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Places in the head; -1 for other words."""
+        at = self._place(lo, hi)
+        found = self.table[at]
+        if not len(self.lo):
+            return found
+        wrong = np.flatnonzero((found >= 0) & ((self.lo[found] != lo) | (self.hi[found] != hi)))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) % (1 << BITS)
+            f = found[wrong] = self.table[at[wrong]]
+            wrong = wrong[(f >= 0) & ((self.lo[f] != lo[wrong]) | (self.hi[f] != hi[wrong]))]
+        return found
+
+
+def headed(vocabulary: DataFrame, most: int = HEAD) -> tuple[Head, DataFrame]:
+    """The most frequent words, at most so many, and the rows of all other words.
 
     Words fall into narrow steps of their frequency, and those of the step that the limit cuts into further ones by
     hash. What comes to the driver is a histogram, and then the words themselves."""
-    own = vocabulary.where("word is not null").withColumns({"step": F.floor(F.log2("c") * 64).cast("int"), "bin": F.shiftrightunsigned(F.xxhash64("word"), 52).cast("int")})
-    short = F.length("word") <= LONGEST
+    own = vocabulary.where("hi is not null").withColumns({"step": F.floor(F.log2("c") * 64).cast("int"), "bin": F.shiftrightunsigned(F.xxhash64("hi", "lo"), 52).cast("int")})
     left, least, cut, bins = most, 1 << 30, -1, -1
-    for r in sorted(own.where(short).groupBy("step").count().collect(), reverse=True):  # 64 for each doubling of the count
+    for r in sorted(own.groupBy("step").count().collect(), reverse=True):  # 64 for each doubling of the count
         if r["count"] > left:
             cut = r["step"]
             break
         left, least = left - r["count"], r["step"]
     if cut >= 0:
-        for r in sorted(own.where(short & (F.col("step") == cut)).groupBy("bin").count().collect()):  # 4096 at most
+        for r in sorted(own.where(F.col("step") == cut).groupBy("bin").count().collect()):  # 4096 at most
             if r["count"] > left:
                 break
             left, bins = left - r["count"], r["bin"]
-    inside = short & ((F.col("step") >= least) | (F.col("step") == cut) & (F.col("bin") <= bins))
-    top = sorted(own.where(inside).select("word", "c").collect(), key=lambda r: (-r["c"], r["word"]))
-    return [r["word"] for r in top], np.array([r["c"] for r in top], np.int64), own.where(~inside).select("word", "c")
+    inside = (F.col("step") >= least) | (F.col("step") == cut) & (F.col("bin") <= bins)
+    columns = ["lo", "hi", "other", "c"]
+    top = sorted(own.where(inside).select(*columns).collect(), key=lambda r: (-r["c"], r["hi"], r["lo"]))
+    return Head(*(np.array([r[k] for r in top], np.int64) for k in columns)), own.where(~inside).select(*columns)
 
 
-def numbered(docs: DataFrame, head: list[str]) -> DataFrame:
+def numbered(docs: DataFrame, head: Head) -> DataFrame:
     """row, doc_id, codes (the numbers of the tokens, the end with them), and of the words outside of the head
-    k1, k2 (halves of a hash of the word) and times."""
+    lo, hi (halves of the key) and times."""
     sent = docs.sparkSession.sparkContext.broadcast(head)
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("k1", longs), ("k2", longs), ("times", pa.list_(pa.int32()))])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.list_(pa.int32())), ("lo", longs), ("hi", longs), ("times", pa.list_(pa.int32()))])
 
     def listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-        n = len(sent.value)
-        code, keys = np.zeros(0, np.int32), np.zeros((2, 0), np.int64)
-
-        def forget() -> None:
-            nonlocal code, keys
-            known.clear()
-            known.update(zip(sent.value, range(n), strict=True))
-            code, keys = np.arange(n + 2 * COUNTED, dtype=np.int32), np.zeros((2, n + 2 * COUNTED), np.int64)
-
-        def learn(new: list[str]) -> None:
-            nonlocal code, keys
-            first, last = len(known), len(known) + len(new)
-            if last > len(code):
-                code, keys = np.resize(code, 2 * last), np.concatenate([keys, np.zeros((2, 2 * last - len(code)), np.int64)], axis=1)
-            raw = [w.encode("utf-8", "surrogatepass") for w in new]
-            code[first:last] = list(map(other_code, raw))
-            for half, seed in enumerate(_SEEDS):
-                keys[half, first:last] = np.array([xxh64_intdigest(r, seed=seed) for r in raw], np.uint64).view(np.int64)
-            known.update(zip(new, range(first, last), strict=True))
-
-        forget()
+        head = sent.value
         for batch in batches:
-            for part, texts in _texts(batch):
-                if len(known) > n + COUNTED:
-                    forget()
-                tokens = [words(t) for t in texts]
-                learn(list(set().union(*tokens).difference(known)))
-                sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-                at = np.fromiter((known[w] for t in tokens for w in t), np.int64, int(sizes.sum()))
-                doc = np.repeat(np.arange(len(tokens)), sizes)
+            for part in _slices(batch):
+                lo, hi, other, sizes = split(part.column("text"))
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                found = head.find(lo, hi)
+                codes = np.full(len(lo) + len(sizes), LAST, np.int32)
+                codes[np.arange(len(lo)) + doc] = np.where(found >= 0, found, HEAD + other)
                 # each word outside of the head once for each text
-                rare = at >= n
-                cells, times = np.unique(doc[rare] * len(code) + at[rare], return_counts=True)
-                many = np.bincount(cells // len(code), minlength=len(tokens))
-                found = keys[:, cells % len(code)]
-                with_ends = np.full(len(at) + len(tokens), LAST, np.int32)
-                with_ends[np.arange(len(at)) + doc] = code[at]
-                lists = [listed(with_ends, sizes + 1), listed(found[0], many), listed(found[1], many), listed(times.astype(np.int32), many)]
+                rare = np.flatnonzero(found < 0)
+                rare = rare[np.lexsort((mix(lo[rare], hi[rare]), doc[rare]))]
+                lo, hi, doc = lo[rare], hi[rare], doc[rare]
+                new = np.ones(len(rare), bool)
+                new[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (doc[1:] != doc[:-1])
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(rare))).astype(np.int32)
+                many = np.bincount(doc[at], minlength=len(sizes))
+                lists = [listed(codes, sizes + 1), listed(lo[at], many), listed(hi[at], many), listed(times, many)]
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), *lists], schema=schema)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(number, "row long, doc_id long, codes array<int>, k1 array<long>, k2 array<long>, times array<int>")
+    return rows.mapInArrow(number, "row long, doc_id long, codes array<int>, lo array<long>, hi array<long>, times array<int>")
 
 
 def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -220,13 +262,13 @@ def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
 class Tables:
     """What the model knows of each number: class, part of the class, hash in histories."""
 
-    def __init__(self, head: list[str], classes: np.ndarray, parts: np.ndarray):
+    def __init__(self, head: Head, classes: np.ndarray, parts: np.ndarray):
         self.of = np.zeros(LAST + 1, np.int64)
         self.part = np.zeros(LAST + 1, np.int64)
         self.slot = np.zeros(LAST + 1, np.int64)
         n = len(head)
         self.of[:n], self.part[:n] = classes, parts
-        self.slot[:n] = [zlib.crc32(w.encode("utf-8", "surrogatepass")) % HASHED for w in head]
+        self.slot[:n] = head.other % HASHED
         other = np.arange(LAST - HEAD)
         self.of[HEAD:LAST], self.slot[HEAD:LAST] = FORM + other // HASHED, other % HASHED
         self.part[HEAD:LAST] = self.slot[HEAD:LAST] * INNER // HASHED
@@ -247,15 +289,20 @@ class Tables:
         return c, self.part[codes], outer, inner
 
 
-def softmax_logs(w: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the probabilities. bias: one row, or one for each token."""
-    z = w[features[0]]
-    z += w[features[1]]
-    z += w[features[2]]
+def softmax(w: np.ndarray, bias: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits of the tokens, their exponentials, and the sums of these. bias: one row, or one for each token."""
+    z = w.take(features[0], axis=0)
+    z += w.take(features[1], axis=0)
+    z += w.take(features[2], axis=0)
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        sums = e @ np.ones(e.shape[1], e.dtype)
+    if len(z) and not (sums.min() > 1e-30 and sums.max() < 1e30):
+        z -= z.max(axis=1, keepdims=True)
+        e = np.exp(z)
+        sums = e.sum(axis=1)
+    return z, e, sums
 
 
 def summed(rows: DataFrame, sizes: Callable[[int], int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -365,14 +412,14 @@ def trained(docs: DataFrame, tables: Tables, biases: tuple[np.ndarray, np.ndarra
                 at += 2 * sizes[k]
                 for lo in range(0, len(y), BLOCK):
                     f, own = features[:, lo : lo + BLOCK], y[lo : lo + BLOCK]
-                    p = softmax_logs(w[k], biases[k] if k == 0 else biases[k][c[lo : lo + BLOCK]], f)
-                    np.exp(p, out=p)
+                    _, p, whole = softmax(w[k], biases[k] if k == 0 else biases[k][c[lo : lo + BLOCK]], f)
+                    p /= whole[:, None]
                     for each in f:
                         np.add.at(seen, each * shapes[k][1] + own, np.float32(1))
                         order = np.argsort(each.astype(np.uint16), kind="stable")  # small integers sort by radix
                         ranked = each[order]
                         starts = np.flatnonzero(np.diff(ranked, prepend=-1))
-                        expected[ranked[starts]] += np.add.reduceat(p[order], starts, axis=0)
+                        expected[ranked[starts]] += np.add.reduceat(p.take(order, axis=0), starts, axis=0)
 
         share = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rounds)) == turn)
         sums, at = total(share, (2 * sum(sizes),), add), 0
@@ -391,13 +438,12 @@ def scored(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     vocabulary = common.stored(counted(docs.where(_training())), "vocabulary")
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    ends = vocabulary.where("word is null").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    head, counts, others = headed(vocabulary)
+    ends = vocabulary.where("hi is null").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    head, others = headed(vocabulary)
     rows = common.stored(numbered(docs, head), "tokens")
     learn = rows.where(_training())
 
-    classes = np.array([FORM + (other_code(w.encode()) - HEAD) // HASHED for w in head], np.int64)
-    parts = np.array([(other_code(w.encode()) - HEAD) % HASHED * INNER // HASHED for w in head], np.int64)
+    classes, parts, counts = FORM + head.other // HASHED, head.other % HASHED * INNER // HASHED, head.counts
     near = min(CLUSTERED, len(head))
     classes[:near], parts[:near] = clustered(learn, near)
     # what each part of a class has of tokens, and of them and distinct words
@@ -405,15 +451,16 @@ def scored(docs: DataFrame) -> DataFrame:
     tokens[END, 0], inside[END, 0] = ends, ends + 1
     np.add.at(tokens, (classes, parts), counts)
     np.add.at(inside, (classes, parts), counts + 1)
-    code = _other_code(F.col("word")) - HEAD
-    sums = others.groupBy(F.floor(code / HASHED).alias("form"), F.floor(F.pmod(code, F.lit(HASHED)) * INNER / HASHED).alias("part")).agg(F.sum("c").alias("c"), F.count("*").alias("n"))
+    of, part = F.floor(F.col("other") / HASHED), F.floor(F.pmod("other", F.lit(HASHED)) * INNER / HASHED)
+    sums = others.groupBy(of.alias("form"), part.alias("part")).agg(F.sum("c").alias("c"), F.count("*").alias("n"))
     for r in sums.collect():
         tokens[FORM + r["form"], r["part"]] += r["c"]
         inside[FORM + r["form"], r["part"]] += r["c"] + r["n"]
     inside[FORM:START] += 1  # words that training hasn't seen
     with np.errstate(divide="ignore"):
         biases = [np.log(np.where(inside > 0, tokens + 0.5, 0).sum(axis=1)), np.log(np.where(inside > 0, tokens + 0.5, 0))]
-        biases = tuple(np.maximum(b, -60).astype(np.float32) for b in biases)  # where nothing can be: no probability
+        # no probability where nothing can be; exponentials stay small
+        biases = tuple(np.maximum(b - np.maximum(b.max(axis=-1, keepdims=True), -60), -60).astype(np.float32) for b in biases)
         logs_inside = np.log10(np.maximum(inside, 1e-300))
     tables = Tables(head, classes, parts)
     w = trained(learn, tables, biases)
@@ -433,9 +480,9 @@ def scored(docs: DataFrame) -> DataFrame:
                 for lo in range(0, len(c), BLOCK):
                     here = slice(lo, lo + BLOCK)
                     each = np.arange(len(c[here]))
-                    a = softmax_logs(w[0], biases[0], outer[:, here])[each, c[here]]
-                    b = softmax_logs(w[1], biases[1][c[here]], inner[:, here])[each, part[here]]
-                    own[here] += (a.astype(np.float64) + b) / np.log(10)
+                    for x, bias, features, y in ((w[0], biases[0], outer, c), (w[1], biases[1][c[here]], inner, part)):
+                        z, _, whole = softmax(x, bias, features[:, here])
+                        own[here] += (z[each, y[here]].astype(np.float64) - np.log(whole.astype(np.float64))) / np.log(10)
                 sizes = np.diff(np.append(firsts, len(codes)))
                 made.append((sizes, *(np.add.reduceat(x, firsts) for x in (known[codes].astype(np.int64), logs[codes], own))))
             if made:
@@ -443,8 +490,8 @@ def scored(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *map(pa.array, columns)], schema=schema)
 
     scores = rows.select("row", "doc_id", "codes").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, s1 double, own double")
-    rare = rows.where(F.size("times") > 0).select("row", F.explode(F.arrays_zip("k1", "k2", "times")).alias("t")).select("row", "t.*")
-    met = rare.join(others.select(*_keys(F.col("word")), "c"), ["k1", "k2"]).groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("s2"))
+    rare = rows.where(F.size("times") > 0).select("row", F.explode(F.arrays_zip("lo", "hi", "times")).alias("t")).select("row", "t.*")
+    met = rare.join(others.select("lo", "hi", "c"), ["hi", "lo"]).groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("s2"))
     out = scores.join(met, "row", "left")
     s = F.col("s1") + F.coalesce("s2", F.lit(0.0))
     return out.select(
