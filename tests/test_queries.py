@@ -4,6 +4,10 @@ import collections
 import glob
 import math
 import os
+import pathlib
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -49,6 +53,17 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 67
 
 
+@pytest.mark.parametrize("also", [[], ["corpus_pipeline.py"]])
+def test_entry_without_the_optional_part(tmp_path, also):
+    """With the folders of the training-data operators gone, the other queries are still there."""
+    here = pathlib.Path(__spark_entry__.__file__).parent
+    shutil.copytree(here, tmp_path / "copy", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", ".pytest_cache", *also))
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()), len(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=env, capture_output=True, text=True, check=True).stdout.split()
+    assert got == [*sorted(QUERIES), str(len(ORACLE))]
+
+
 def test_stream(spark, tmp_path):
     ent = fixtures.doc_entities(spark, DIR)
     ent.where("source = 1").write.parquet(str(tmp_path / "in"))
