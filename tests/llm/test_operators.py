@@ -233,6 +233,25 @@ def test_top_k_with_copies(spark):
         assert sorted(got[q]) == [(k + 1, *w) for k, w in enumerate(want)]
 
 
+@pytest.mark.parametrize("spread", [2, 64])
+def test_top_k_of_many_codes(spark, spread):
+    """More codes than a step has probes; clusters, where radii stay small, and random codes, where they grow."""
+    rng = random.Random(33)
+    centres = [rng.getrandbits(64) for _ in range(50)]
+    codes = [rng.choice(centres) if spread < 64 else 0 for _ in range(4500)]
+    for i in range(4500):
+        for b in rng.sample(range(64), rng.randrange(spread + 1)) if spread < 64 else [b for b in range(64) if rng.random() < 0.5]:
+            codes[i] ^= 1 << b
+    df = spark.createDataFrame([(i, c - (1 << 64) if c >> 63 else c) for i, c in enumerate(codes)], "id long, code long")
+    got = defaultdict(list)
+    for r in hamming.top_k(df, df.where("id % 50 = 0"), 10).collect():
+        got[r["query_id"]].append((r["rank"], r["distance"], r["id"]))
+    assert len(got) == 90
+    for q, c in list(enumerate(codes))[::50]:
+        want = sorted(((c ^ x).bit_count(), i) for i, x in enumerate(codes))[:10]
+        assert sorted(got[q]) == [(k + 1, *w) for k, w in enumerate(want)]
+
+
 # op4
 
 

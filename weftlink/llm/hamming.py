@@ -1,36 +1,32 @@
 """Exact top-k search over binary codes: incremental multi-index hashing.
 
 A code of 64 bits has four segments of 16 bits; a table holds each distinct code under the value of each
-segment. A query enumerates the values within a radius of its own in each segment, looks them up, and
-verifies complete distances. After radii r1..r4 every code within r1 + r2 + r3 + r4 + 3 has been met (else it
-would differ in more than ri bits in each segment), so radii grow, step by step, for the queries whose k-th
-distance isn't covered yet. Where a step would enumerate more values than there are codes, the queries that
-remain are compared with all codes in blocks instead.
+segment. A query enumerates the values that differ from its own segment in r bits, looks them up, and verifies
+complete distances; r grows by one, in all segments, from 0 on. After radius r every code within 4r + 3 has been
+met (else it would differ in more than r bits in each segment), so the search goes on for just those queries
+whose k-th distance isn't covered yet. There is no other way to a result: at radius 16 every code has been met.
 
 Equal codes are one entry with their k least ids, and equal queries are one search, so groups of copies cost
-no more than one of them. Candidates beyond a query's k-th distance so far are dropped where they are met.
+no more than one of them. Candidates beyond a query's k-th distance so far are dropped where they are met, and of
+the others a query keeps k codes at most.
 
 Defined results: ties go to the lesser id; a query finds itself; with fewer than k rows all are found; rows
 with the same id are rows of their own; a null id or embedding, or one without numbers, is left out; an
-element that is null or not a number is a zero bit; an empty table gives an empty result. Other columns are
-ignored.
+element that is null or not a number is a zero bit, and so are those that a short embedding lacks; elements after the
+64th don't count; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftlink.llm import common
 
-#: Bits of a code, segments, results of a query, one of how many ids is a query, queries of a block.
-BITS, SEGMENTS, K, EVERY, BLOCK = 64, 4, 10, 50, 2048
+#: Bits of a code, segments, results of a query, one of how many ids is a query.
+BITS, SEGMENTS, K, EVERY = 64, 4, 10, 50
 WIDTH = BITS // SEGMENTS
 
 
@@ -41,24 +37,25 @@ def sign_code(embedding: Column) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
 
 
-@functools.cache
-def flips(radius: int) -> np.ndarray:
+def flips(radius: int) -> Column:
     """All values of a segment with so many bits."""
-    return np.array([sum(1 << b for b in bits) for bits in itertools.combinations(range(WIDTH), radius)], np.int64)
+    return F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda x: F.bit_count(x) == radius)
 
 
-def steps() -> Iterator[list[tuple[int, int]]]:
-    """Steps of the search: lists of (segment, radius)."""
-    yield [(s, r) for s in range(SEGMENTS) for r in range(3)]
-    yield [(s, 3) for s in range(SEGMENTS)]
-    for r in range(4, WIDTH + 1):
-        for half in range(0, SEGMENTS, 2):
-            yield [(s, r) for s in range(half, half + 2)]
+def segments(code: Column) -> Column:
+    """(segment, value) of a code."""
+    value = lambda s: F.shiftright(code, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int")
+    return F.array(*[F.struct(F.lit(s).alias("segment"), value(s).alias("value")) for s in range(SEGMENTS)])
 
 
-def _best(rows: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("q").orderBy("distance", "id", "copy")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+def _nearest(rows: DataFrame, k: int) -> DataFrame:
+    """q, distance, code, least, size: of each query the nearest codes that together have k rows, k codes at most. Of codes
+    that are equally near those with the least ids stay, as the ids of one may stand between those of another."""
+    order = Window.partitionBy("q").orderBy("distance", "least", "code")
+    first = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    nearer = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(nearer), F.lit(0))
+    return first.withColumn("before", before).where(F.col("before") < k).drop("rank", "before")
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -66,78 +63,45 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     spark = rows.sparkSession
     first = Window.partitionBy("code").orderBy("id")
     least = rows.where("id is not null and code is not null").withColumn("copy", F.row_number().over(first)).where(F.col("copy") <= k)
-    codes = common.stored(least.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("id", "copy"))).alias("ids")), "codes")  # k ids at most
-    n = codes.count()
-    segments = F.array(*[F.struct(F.lit(s).alias("segment"), F.shiftright("code", s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int").alias("value")) for s in range(SEGMENTS)])
-    table = common.stored(codes.select("code", F.explode(segments).alias("x")).select("x.segment", "x.value", "code"), "table")
+    grouped = least.groupBy("code").agg(F.array_sort(F.collect_list(F.struct("id", "copy"))).alias("ids"))  # k ids at most
+    codes = common.stored(grouped.withColumns({"least": F.col("ids")[0]["id"], "size": F.size("ids")}), "codes")
+    table = common.stored(codes.select("code", "least", "size", F.explode(segments(F.col("code"))).alias("x")).select("x.*", "code", "least", "size"), "table")
+    total = codes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]  # of copies, k count
     queries = queries.where("id is not null and code is not null")
-    open_ = queries.select(F.col("code").alias("q")).distinct().withColumn("worst", F.lit(BITS))
-    best = spark.createDataFrame([], "q long, distance int, id long, copy int, rank int")
-    done, radii = [], [-1] * SEGMENTS
-
-    def listed(found: DataFrame) -> DataFrame:
-        return found.join(codes, "code").select("q", "distance", F.explode("ids").alias("i")).select("q", "distance", "i.id", "i.copy")
-
-    for step in steps():
-        open_ = common.stored(open_, "open")
-        left = open_.count()
-        if not left:
-            break
-        if sum(len(flips(r)) for _, r in step) > n:
-            rest = _best(listed(scanned(open_, codes, left, k)), k)
-            done.append(rest)
+    # worst: the k-th distance so far
+    open_ = common.stored(queries.select(F.col("code").alias("q")).distinct().withColumn("worst", F.lit(BITS)), "open")
+    best = spark.createDataFrame([], "q long, distance int, code long, least long, size int")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    done = []
+    distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
+    for radius in range(WIDTH + 1):
+        if not total or not open_.count():
             break
-
-        def probes(batches: Iterator[pd.DataFrame], step=step) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for q, worst in zip(batch["q"], batch["worst"], strict=True):
-                    for s, r in step:
-                        own = (int(q) >> (s * WIDTH)) & ((1 << WIDTH) - 1)
-                        yield pd.DataFrame({"q": q, "worst": worst, "segment": s, "value": flips(r) ^ own})
-
-        for s, r in step:
-            radii[s] = max(radii[s], r)
-        distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
+        # so few queries may stand in one file that one task would make all probes
+        own = open_.repartition(tasks, "q").select("q", "worst", F.explode(segments(F.col("q"))).alias("x"))
+        probes = own.select("q", "worst", "x.segment", F.explode(flips(radius)).alias("flip"), F.col("x.value").alias("own"))
+        probes = probes.select("q", "worst", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
         # probes are many more than the rows they come from, so neither side may be broadcast by that estimate
-        met = open_.mapInPandas(probes, "q long, worst int, segment int, value int").hint("merge").join(table.hint("merge"), ["segment", "value"])
-        met = met.select("q", "code", distance.alias("distance"), "worst").where("distance <= worst").select("q", "code", "distance").distinct()
-        both = listed(met).unionByName(best.select("q", "distance", "id", "copy")).distinct()
-        best = common.stored(_best(both, k), "best")
-        covered = sum(r + 1 for r in radii) - 1
-        of = best.groupBy("q").agg(F.max("distance").alias("kth"), F.count("*").alias("found"))
+        met = probes.hint("merge").join(table.hint("merge"), ["segment", "value"]).withColumn("distance", distance).where("distance <= worst")
+        both = met.select("q", "distance", "code", "least", "size").unionByName(best).distinct()
+        best = common.stored(_nearest(both, k), "best")
+        # the k-th row stands at the greatest distance that is left, as k rows aren't nearer than that
+        of = best.groupBy("q").agg(F.max("distance").alias("kth"), F.sum("size").alias("found"))
         state = open_.select("q").join(of, "q", "left").withColumn("worst", F.when(F.col("found") >= k, F.col("kth")).otherwise(F.lit(BITS)))
-        state = state.withColumn("over", (F.col("worst") <= covered) | F.lit(covered >= BITS))
+        covered = SEGMENTS * (radius + 1) - 1
+        # all rows found, or k of them and none can be nearer
+        over = F.coalesce(F.col("found") >= min(k, total), F.lit(False)) & ((F.col("worst") <= covered) | F.lit(total <= k)) | F.lit(radius == WIDTH)
+        state = common.stored(state.select("q", "worst", over.alias("over")), "state")
         done.append(best.join(state.where("over").select("q"), "q"))
-        best = best.join(state.where(~F.col("over")).select("q"), "q")
-        open_ = state.where(~F.col("over")).select("q", "worst")
-    if not done:
-        done = [best]
-    found = functools.reduce(DataFrame.unionByName, done)
+        best = best.join(state.where("not over").select("q"), "q")
+        open_ = state.where("not over").select("q", "worst")
+    found = functools.reduce(DataFrame.unionByName, done) if done else best
+    # ids of the codes that were found
+    listed = found.select("q", "distance", "code").join(codes.select("code", "ids"), "code").select("q", "distance", F.explode("ids").alias("i"))
+    order = Window.partitionBy("q").orderBy("distance", "id", "copy")
+    listed = listed.select("q", "distance", "i.id", "i.copy").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("q"))
-    return asked.join(found, "q").select("query_id", F.col("rank").cast("int").alias("rank"), "id", F.col("distance").cast("int").alias("distance"))
-
-
-def scanned(queries: DataFrame, codes: DataFrame, n: int, k: int) -> DataFrame:
-    """q, code, distance: for each query, of each part of the codes, the k nearest and all that tie with them.
-
-    The queries are read back in blocks of fixed size, each broadcast in turn."""
-    blocks = queries.select("q").repartitionByRange(max(1, -(-n // BLOCK)), "q").withColumn("part", F.spark_partition_id())
-    blocks = common.stored(blocks, "blocks")
-    found = []
-    for part in sorted(r["part"] for r in blocks.select("part").distinct().collect()):
-        own = np.array([r["q"] for r in blocks.where(F.col("part") == part).toLocalIterator()], np.int64)
-        sent = queries.sparkSession.sparkContext.broadcast(own)
-
-        def nearest(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                c = batch["code"].to_numpy(np.int64)
-                for q in sent.value:
-                    d = np.bitwise_count((c ^ q).view(np.uint64)).astype(np.int32)
-                    near = d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1] if len(d) else np.zeros(0, bool)
-                    yield pd.DataFrame({"q": q, "code": c[near], "distance": d[near]})
-
-        found.append(codes.select("code").mapInPandas(nearest, "q long, code long, distance int"))
-    return functools.reduce(DataFrame.unionByName, found)
+    return asked.join(listed, "q").select("query_id", F.col("rank").cast("int").alias("rank"), "id", "distance")
 
 
 def op3_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
