@@ -285,8 +285,9 @@ def test_simhash(spark, docs):
         assert r["fingerprint"] == f"{prints[r['doc_id']]:016x}" and r["component_id"] == want[r["doc_id"]]
 
 
+@pytest.mark.parametrize("hot", [1, 4, simhash.HOT])
 @pytest.mark.parametrize("radius", [1, 2])
-def test_links_over_chains(spark, radius):
+def test_links_over_chains(spark, radius, hot):
     rng = random.Random(7)
     prints = {}
     for start in range(20):
@@ -297,7 +298,7 @@ def test_links_over_chains(spark, radius):
                 c ^= 1 << rng.randrange(64)
     signed = [(i, p - (1 << 64) if p >> 63 else p) for i, p in prints.items()]
     df = spark.createDataFrame(signed, "doc_id long, fp long")
-    found = simhash.components(simhash.links(df.select("fp").distinct(), radius)).collect()
+    found = simhash.components(simhash.links(df.select("fp").distinct(), radius, hot)).collect()
     of = {r["node"]: r["component"] for r in found}
     groups = defaultdict(set)
     for i, p in signed:
@@ -308,6 +309,27 @@ def test_links_over_chains(spark, radius):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("hot", [3, simhash.HOT])
+def test_links_of_large_groups(spark, hot):
+    """Hundreds of distinct fingerprints around one centre share the values of a segment; no link is lost."""
+    rng = random.Random(71)
+    centre = rng.getrandbits(64)
+    prints = {centre}
+    while len(prints) < 400:
+        prints.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))))
+    prints |= {rng.getrandbits(64) for _ in range(100)}
+    prints = dict(enumerate(sorted(prints)))
+    signed = {p - (1 << 64) if p >> 63 else p: i for i, p in prints.items()}
+    links = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), 2, hot)
+    of = {r["node"]: r["component"] for r in simhash.components(links).collect()}
+    groups, want = defaultdict(set), defaultdict(set)
+    for p, i in signed.items():
+        groups[of.get(p, p)].add(i)
+    for i, c in classes(prints).items():
+        want[c].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values())) and len(want) < 450
+
+
 def test_dedup_keeps_one_row_of_each_group(spark):
     rng = random.Random(21)
     text = lambda: " ".join(f"w{rng.getrandbits(30):x}" for _ in range(60))

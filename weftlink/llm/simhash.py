@@ -1,19 +1,24 @@
 """SimHash near-dedup over multi-index hashing.
 
-Fingerprints are made in Python batches with numpy. For the links, a fingerprint is cut into four segments
-of 16 bits, and in each segment the Hamming ball of radius r // 2 is enumerated with the other segments as
-they are: r bits that two fingerprints differ in split into halves, so both reach a common probe, and the
-probe is looked up in a table keyed by all 64 bits. A key of one segment alone would be hot: near copies
-and texts of the same words agree in most segments, and a third of the rows could meet under one key.
-Under a full key, all members are within r of one another, so each is linked to the least of them and no
-pairs are made. Complete distances are verified before links are used.
+Fingerprints are made in Python batches with numpy. For the links, a fingerprint is cut into two segments of 32
+bits, and a table holds each distinct fingerprint under the value of each segment. Two fingerprints that differ
+in r bits differ in r // 2 at most in one of the segments; so each enumerates the Hamming ball of radius r // 2
+around its own value of each segment, fetches what the table holds there, and links to what is within r bits
+of it as a whole.
+
+A value of a segment is hot if more than HOT distinct fingerprints have it (a large group of near copies). It isn't
+looked up, as all pairs would meet there. Fingerprints whose probes hit a hot value are looked up with the other
+segment, too: under all 64 bits, with a flip of one bit at most on either side. At most 65 fingerprints lie within
+one bit of such a key, all of them within 2 bits of one another, and each is linked to the least of them. So no link
+is lost and no group's pairs are listed.
 
 The table holds distinct fingerprints; links between them go to connected components; each document then
 gets the component of its fingerprint. Exact copies never make links.
 
-Defined results: a text without words (or null) has fingerprint zero, which links like any other; a null
-doc_id never is a component's id unless the component has no other; rows with the same doc_id are rows of
-their own, of which deduplicated() keeps one in each component; an empty table gives an empty result. Other columns are ignored.
+Defined results: a text without words (or null) has fingerprint zero, which links like any other; a very long text
+is read whole, its shingles a block at a time; a null doc_id never is a component's id unless the component has no
+other; rows with the same doc_id are rows of their own, of which deduplicated() keeps one in each component; an empty
+table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
@@ -35,6 +40,8 @@ from weftlink.llm.components import components
 
 #: Words of a shingle, seed of XXH64, differing bits of a link, shingles that are counted at a time.
 SHINGLE, SEED, RADIUS, BLOCK = 3, 42, 2, 16_384
+#: Bits of a segment, segments, distinct fingerprints that may meet under one value of a segment.
+WIDTH, SEGMENTS, HOT = 32, 2, 64
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _hash = functools.partial(xxh64_intdigest, seed=SEED)
@@ -66,29 +73,63 @@ def simhash_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(np.fromiter((_signed(simhash(t)) for t in texts), np.int64, len(texts)))
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: links between the distinct fingerprints of column fp, enough to connect all pairs that differ
-    in up to `radius` (2 or 3: 1 flipped bit on each side; 0 or 1: flips on one side suffice)."""
-    if radius not in (1, 2):
-        raise ValueError("radius 1 or 2")
-    masks = [0] + [_signed(1 << (16 * segment + bit)) for segment in range(4) for bit in range(16)]
-    # for radius 1 an entry and the flips of another meet only if one of the two isn't flipped
-    probes = prints.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("flip"))
+def _segments(fp: Column) -> Column:
+    """(segment, value) of a fingerprint."""
+    return F.array(*[F.struct(F.lit(s).alias("segment"), F.shiftright(fp, s * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).alias("value")) for s in range(SEGMENTS)])
+
+
+def _ball(radius: int) -> Column:
+    """All values of a segment with up to so many bits."""
+    masks = [sum(1 << b for b in bits) for n in range(radius + 1) for bits in itertools.combinations(range(WIDTH), n)]
+    return F.array(*[F.lit(m).cast("long") for m in masks])
+
+
+def _verified(pairs: DataFrame, radius: int) -> DataFrame:
+    """a, b: the pairs (a, b) of different fingerprints that differ in up to `radius` of all bits."""
+    return pairs.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
+
+
+def full_links(prints: DataFrame, radius: int) -> DataFrame:
+    """a, b: enough links to connect all pairs of the distinct fingerprints fp that differ in up to `radius` (2 at most)
+    bits, through keys of all bits: each probe is linked to the least that shares it."""
+    flips = [0] + [_signed(1 << bit) for bit in range(64)]
+    probes = prints.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in flips])).alias("flip"))
     probes = probes.select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("probe"))
-    if radius == 1:
-        table = prints.select(F.col("fp").alias("b"))
-        found = probes.hint("merge").join(table.hint("merge"), F.col("probe") == F.col("b")).select(F.col("fp").alias("a"), "b")
+    # whoever shares a probe is within 2 bits; within 1 bit one of the two shares the other's own place
+    if radius < 2:
+        own = prints.select(F.col("fp").alias("b"))
+        met = probes.hint("merge").join(own.hint("merge"), F.col("probe") == F.col("b")).select(F.col("fp").alias("a"), "b")
     else:
-        # 65 fingerprints at most lie within one bit of a probe, so no key is hot
-        found = probes.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("probe").orderBy("fp")).alias("b"))
-    return found.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).distinct()
+        met = probes.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("probe").orderBy("fp")).alias("b"))
+    return _verified(met, radius)
+
+
+def links(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+    """a, b: links between the distinct fingerprints of column fp, enough to connect all pairs that differ
+    in up to `radius` bits (2 at most)."""
+    if not 0 < radius <= 2:
+        raise ValueError("radius 1 or 2")
+    entries = prints.select("fp", F.explode(_segments(F.col("fp"))).alias("x")).select("x.*", "fp")
+    crowded = common.stored(entries.groupBy("segment", "value").count().where(F.col("count") > hot).select("segment", "value"), "crowded")
+    n = crowded.count()
+    probes = entries.select("segment", F.col("value").alias("own"), F.col("fp").alias("a"), F.explode(_ball(radius // SEGMENTS)).alias("flip"))
+    probes = probes.select("segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"), "a")
+    table = entries.withColumnRenamed("fp", "b")
+    if n:
+        table = table.join(common.beside(crowded, n), ["segment", "value"], "left_anti")
+    # probes are many more than the rows they come from, so neither side may be broadcast by that estimate
+    light = _verified(probes.hint("merge").join(table.hint("merge"), ["segment", "value"]), radius)
+    if not n:
+        return light.distinct()
+    met = probes.join(common.beside(crowded, n), ["segment", "value"], "left_semi").select(F.col("a").alias("fp")).distinct()
+    return light.unionByName(full_links(common.stored(met, "met"), radius)).distinct()
 
 
 def classed(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, text_hash, fp, component (the least fingerprint of its group), component_id of each row."""
     # fingerprints are made once; what follows reads 24 bytes a document
     prints = common.stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), simhash_udf("text").alias("fp")), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = components(links(distinct.select("fp"), radius))
     of = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     ids = of.groupBy("component").agg(F.min("least").alias("component_id"))
