@@ -57,8 +57,8 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 
 def nfkc(text: Column) -> Column:
-    """The NFKC form; ASCII is its own, but the rows still cross to Python in one projection."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), _nfkc(text)).otherwise(text)
+    """The NFKC form. ASCII is its own: it goes as null to the Python worker, so it isn't shipped."""
+    return F.coalesce(_nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
 
 
 def strip(text: Column) -> Column:

@@ -50,11 +50,11 @@ def sides(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def docs_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(doc_entities(spark, sf_dir), unicode=False)
+    return normalized(doc_entities(spark, sf_dir))
 
 
 def custs_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalized(cust_entities(spark, sf_dir), unicode=False)
+    return normalized(cust_entities(spark, sf_dir))
 
 
 def doc_truth(entities: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ PARTS = "z AS (SELECT ceil(count(*) / 3)::BIGINT AS size FROM s1), sh AS (SELECT
 def s13(spark, d):
     ent = X.doc_entities(spark, d)
     s1, truth = ent.where("source = 1"), X.doc_truth(ent).select("sid", F.col("trues").alias("cids"))
-    parts = [tables.output_rows(tables.shard(s1, 3, i), truth, "matched_entity_ids").withColumn("shard", F.lit(i)) for i in range(3)]
+    parts = [tables.output_rows(rows, truth, "matched_entity_ids").withColumn("shard", F.lit(i)) for i, rows in enumerate(tables.shards_of(s1, 3))]
     return tables.merged(parts).select("source1_entity_id", "shard", "matched_entity_ids")
 
 
@@ -138,13 +138,62 @@ def n02(spark, d):
     return docs.select("doc_id", F.md5(nfkc(F.col("text"))).alias("nfkc_md5"))
 
 
-@query("k01_nysiis")
+def let_sql(value: str, name: str, body: str) -> str:
+    """body with the value under a name."""
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def nysiis_sql(word: str) -> str:
+    """NYSIIS by letters and their neighbours, as DuckDB's expressions can't look around."""
+    edges = [("^MAC", "MCC"), ("^KN", "NN"), ("^K", "C"), ("^P[HF]", "FF"), ("^SCH", "SSS"), ("(EE|IE)$", "Y"), ("(DT|RT|RD|NT|ND)$", "D")]
+    start = f"regexp_replace(upper({word}), '[^A-Z]', '', 'g')"
+    for old, new in edges:
+        start = f"regexp_replace({start}, '{old}', '{new}')"
+
+    def rest(x: str, rules: list[tuple[str, str]]) -> str:
+        inside = f"substr({x}, 2)"
+        for old, new in rules:
+            inside = f"regexp_replace({inside}, '{old}', '{new}', 'g')"
+        return f"substr({x}, 1, 1) || {inside}"
+
+    def letters(x: str, case: str) -> str:
+        return f"array_to_string(list_transform(string_split({x}, ''), lambda ch, i: CASE {case} ELSE ch END), '')"
+
+    vowel = lambda at, x: f"contains('AEIOU', substr({x}, {at}, 1))"
+    h = f"WHEN i > 1 AND ch = 'H' AND (NOT {vowel('i - 1', 'b')} OR (i < length(b) AND NOT {vowel('i + 1', 'b')})) THEN '_'"
+    w = f"WHEN i > 1 AND ch = 'W' AND {vowel('i - 1', 'c')} THEN '_'"
+    inner = [("EV", "af"), ("[AEIOU]", "a"), ("Q", "g"), ("Z", "s"), ("M", "n"), ("K", "c")]
+    once = "array_to_string(list_filter(string_split(e, ''), lambda ch, i: i = 1 OR ch <> substr(e, i - 1, 1)), '')"
+    end = "regexp_replace(regexp_replace(regexp_replace(f, '(.)S$', '\\1'), 'AY$', 'Y'), '(.)A$', '\\1')"
+    body = let_sql(once, "f", end)
+    body = let_sql("upper(replace(d, '_', ''))", "e", body)
+    body = let_sql(rest("d0", inner), "d", body)
+    body = let_sql(letters("c", w), "d0", body)
+    body = let_sql(letters("b", h), "c", body)
+    body = let_sql(rest("a", [("KN", "n"), ("SCH", "s"), ("PH", "f")]), "b", body)
+    return f"CASE WHEN {start} = '' THEN '' ELSE {let_sql(start, 'a', body)} END"
+
+
+_SOUND = f"array_to_string(list_transform(regexp_extract_all(core_name, '[A-Za-z]+'), lambda w: {nysiis_sql('w')}), ' ')"
+
+
+@query("k01_nysiis", _cust(f"z AS (SELECT 1) SELECT entity_id, {_SOUND} AS phonetic_key FROM rec"))
 def k01(spark, d):
     ent = X.custs_normalized(spark, d)
     return ent.select("entity_id", phonetic.phonetic_key(F.col("core_name")).alias("phonetic_key"))
 
 
-@query("k04_transliterate")
+def latin_sql(text: str) -> str:
+    table = "MAP {" + ", ".join(f"{place}: '{latin}'" for place, latin in translit.LETTERS.items()) + "}"
+    first, last = min(translit.BLOCKS), max(translit.BLOCKS) + 127
+    letter = f"CASE WHEN unicode(ch) BETWEEN {first} AND {last} THEN coalesce({table}[(unicode(ch) - {first}) % 128], '') ELSE ch END"
+    out = f"lower(array_to_string(list_transform(string_split({text}, ''), lambda ch: {letter}), ''))"
+    for old, new in translit.SUBSTITUTIONS:
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+@query("k04_transliterate", f"SELECT doc_id, md5({latin_sql("coalesce(text, '')")}) AS latin_md5 FROM documents")
 def k04(spark, d):
     return X.table(spark, d, "documents").select("doc_id", F.md5(translit.latin(F.col("text"))).alias("latin_md5"))
 
@@ -246,7 +295,11 @@ def j01(spark, d):
     return blocking.key_pairs(*_docs(spark, d), "exact")
 
 
-@query("j02_phonetic_blocking")
+PHONETIC = f"""
+ph0 AS (SELECT *, {_SOUND} AS sound FROM rec), ph AS (SELECT entity_id, ord, source, country, sound AS key FROM ph0 WHERE length(core_name) >= 3 AND sound <> '')"""
+
+
+@query("j02_phonetic_blocking", _cust(f"{PHONETIC}, {_capped_sql('ph', 'ph')} SELECT sid, cid, pos FROM ph_p"))
 def j02(spark, d):
     return blocking.key_pairs(*_custs(spark, d), "phonetic")
 
@@ -436,7 +489,16 @@ def f07(spark, d):
     return _rounded(df.select("sid", "cid", *features.by_kernel(), "high_confidence_addr_match", "max_name_sim", "joint_confidence", "embedding_cosine"))
 
 
-@query("f10_phonetic")
+def _codes_sql(core: str) -> str:
+    return f"list_filter(list_transform({X.tokens_sql(core)}, lambda w: {nysiis_sql('w')}), lambda c: c <> '')"
+
+
+@query(
+    "f10_phonetic",
+    _cust(f"""{_PAIRS}, co AS (SELECT entity_id, {_codes_sql('core_name')} AS codes FROM rec)
+SELECT sid, cid, (len(a.codes) > 0 AND a.codes = b.codes)::INT AS name_phonetic_match, round({_jaccard_sql('a.codes', 'b.codes')}, 6) AS name_phonetic_jaccard
+FROM ex_p JOIN co a ON a.entity_id = sid JOIN co b ON b.entity_id = cid"""),
+)
 def f10(spark, d):
     s1, other, pairs = _pairs(spark, d)
     found = features.by_sound()
@@ -604,11 +666,17 @@ def x07(spark, d):
 @query("x04_pipeline", _doc(f"{_CLAIMED} SELECT sid, array_to_string(cids, ',') AS cids FROM fin"))
 def x04(spark, d):
     """The whole job on the documents' records: normalize, block, score by the rule, claim, complete."""
-    config = linkage.Config(passes=("exact", "first_word"), by_address=False, unicode=False)
+    config = linkage.Config(passes=("exact", "first_word"), by_address=False)
     return linkage.link(X.doc_entities(spark, d), config).select("sid", F.array_join("cids", ",").alias("cids"))
 
 
-@query("x04_full_pipeline")
+_EVERY_PAIR = f"""{EXACT}, {_capped_sql('ex', 'ex')}, {PHONETIC}, {_capped_sql('ph', 'ph')}, {FIRST_WORD}, {_capped_sql('fw', 'fw')}, {ADDRESS_KEYS}, {_capped_sql('ak', 'ak')},
+{_TFIDF.strip()}, sm AS (SELECT a.entity_id AS sid, b.entity_id AS cid, round(sum(a.w * b.w), 9) AS sim FROM wt a JOIN wt b USING (gram) WHERE a.source = 1 AND b.source <> 1 GROUP BY ALL),
+tk AS (SELECT sid, cid FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY sim DESC, cid) AS rank FROM sm) WHERE rank <= 15),
+un AS (SELECT sid, cid FROM ex_p UNION SELECT sid, cid FROM ph_p UNION SELECT sid, cid FROM fw_p UNION SELECT sid, cid FROM ak_p UNION FROM tk)"""
+
+
+@query("x04_full_pipeline", _doc(_CLAIMED.replace(_DOC_PAIRS, _EVERY_PAIR) + " SELECT sid, array_to_string(cids, ',') AS cids FROM fin"))
 def x04_full(spark, d):
-    """The same with all passes and Unicode folding."""
-    return linkage.link(X.doc_entities(spark, d)).select("sid", F.array_join("cids", ",").alias("cids"))
+    """The same with all passes, that of resembling character n-grams among them."""
+    return linkage.link(X.doc_entities(spark, d), linkage.Config(tfidf_k=15)).select("sid", F.array_join("cids", ",").alias("cids"))

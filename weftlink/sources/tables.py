@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftlink.sources.storage import stored
+
 # Other names of the columns, and texts that stand for a missing value.
 ALIASES = {
     "business_name": "name",
@@ -110,11 +112,30 @@ def write_submission(entities: DataFrame, candidates: DataFrame, matches: DataFr
     write_tsv(output_rows(entities, matches, "matched_entity_ids"), f"{folder}/matching_results")
 
 
+def placed(df: DataFrame, order: str = "ord") -> DataFrame:
+    """df with place__, its rows' places (from 0) in order. Ranges are sorted each by itself, and only how many rows
+    each of them has comes to the driver. The ranges are stored first, as Spark would draw others if asked again."""
+    ranges = stored(df.repartitionByRange(order).withColumn("range__", F.spark_partition_id()), "ranges")
+    before, n = {}, 0
+    for r in sorted(ranges.groupBy("range__").count().collect()):
+        before[r["range__"]], n = n, n + r["count"]
+    if not before:
+        return ranges.withColumn("place__", F.lit(0).cast("long")).drop("range__")
+    first = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("range__")]
+    inside = F.row_number().over(Window.partitionBy("range__").orderBy(order))
+    return ranges.withColumn("place__", (first + inside - 1).cast("long")).drop("range__")
+
+
+def shards_of(df: DataFrame, shards: int, order: str = "ord") -> list[DataFrame]:
+    """What runs over `shards` equal ranges get, in order; the last has what is left."""
+    rows = placed(df, order)
+    size = max(1, -(-rows.count() // shards))
+    return [rows.where(F.col("place__").between(i * size, (i + 1) * size - 1)).drop("place__") for i in range(shards)]
+
+
 def shard(df: DataFrame, shards: int, which: int, order: str = "ord") -> DataFrame:
     """The rows that a run over `shards` equal ranges gives to one of them."""
-    n = df.count()
-    size = -(-n // shards)
-    return slice_rows(df, which * size, size, order)
+    return shards_of(df, shards, order)[which]
 
 
 def merged(parts: list[DataFrame], first: str = "source1_entity_id") -> DataFrame:
