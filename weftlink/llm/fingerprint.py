@@ -1,8 +1,9 @@
 """Document fingerprints: Merkle trees over blocks, paragraphs and sections. DataFrame functions only.
 
-A text is cut at blank lines into sections, each section at line ends into paragraphs, and a paragraph
-longer than 256 code points into blocks of that many. Leaves hash blocks, a section hashes its leaves, the
-root hashes the sections. The fingerprint is written out, with the root first:
+A text is cut at blank lines into sections, each section at line ends into paragraphs, and a paragraph into
+blocks: sentences of 64 code points or more, and where none ends within 256, that many. So blocks after an edit
+are cut as before it. Leaves hash blocks, a section hashes its text and its leaves, the root hashes the sections,
+the last two with all 128 bits of MD5. The fingerprint is written out, with the root first:
 
     root.section:leaf,leaf;leaf/section:leaf
 
@@ -10,9 +11,9 @@ with commas between blocks and semicolons between paragraphs, where a leaf is 12
 "-" and its length; so it can be compared without the text.
 Equal texts have equal fingerprints, and unequal branches name the sections and blocks that differ.
 
-Defined results: a null text counts as empty; its tree has one section without leaves. Rows with the same
-doc_id follow each other in the order of their texts; a null doc_id comes first. An empty table gives an
-empty result. The only document of a table is its own successor. Other columns are ignored.
+Defined results: a null text counts as empty; its tree has one section without leaves. A very long text is hashed whole.
+Rows with the same doc_id follow each other in the order of a hash of their texts; a null doc_id comes first. An empty
+table gives an empty result. The only document of a table is its own successor. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,19 +25,22 @@ from pyspark.sql import functions as F
 
 from weftlink.llm import common
 
-#: Code points of a block at most; rows that share a bucket of successive doc_ids; buckets at most.
-BLOCK, ROWS, BUCKETS = 256, 2_000, 65_536
+#: Rows that share a bucket of successive doc_ids; buckets at most.
+ROWS, BUCKETS = 2_000, 65_536
+#: Blocks of a paragraph.
+BLOCK = r"(?s).{64,254}?[.!?]\x20|.{1,256}"
 
 
 def tree(section: Column) -> Column:
     """The leaves of a section, written out: blocks parted by commas, paragraphs by semicolons."""
     leaf = lambda b: F.concat(F.substring(F.md5(b), 1, 12), F.lit("-"), F.length(b).cast("string"))
-    blocks = lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    blocks = lambda p: F.regexp_extract_all(p, F.lit(BLOCK), F.lit(0))
     return F.array_join(F.transform(F.split(section, "\n", -1), lambda p: F.array_join(F.transform(blocks(p), leaf), ",")), ";")
 
 
 def fingerprint(text: Column) -> Column:
-    sections = F.transform(F.transform(F.split(text, "\n\n", -1), tree), lambda s: F.concat(F.substring(F.md5(s), 1, 12), F.lit(":"), s))
+    parts = F.transform(F.split(text, "\n\n", -1), lambda s: F.struct(F.md5(s).alias("whole"), tree(s).alias("leaves")))
+    sections = F.transform(parts, lambda x: F.concat(F.md5(F.concat(x["whole"], F.lit(":"), x["leaves"])), F.lit(":"), x["leaves"]))
     root = F.md5(F.array_join(F.transform(sections, lambda s: F.substring_index(s, ":", 1)), "/"))
     return F.concat(root, F.lit("."), F.array_join(sections, "/"))
 
@@ -124,9 +128,9 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TREE = r"""
-  list_transform(list_transform(string_split({t}, chr(10) || chr(10)), lambda s: array_to_string(list_transform(string_split(s, chr(10)),
-    lambda p: array_to_string(list_transform(regexp_extract_all(p, '(?s).{{1,256}}'),
-      lambda b: substr(md5(b), 1, 12) || '-' || length(b)::VARCHAR), ',')), ';')), lambda x: substr(md5(x), 1, 12) || ':' || x)"""
+  list_transform(list_transform(string_split({t}, chr(10) || chr(10)), lambda s: struct_pack(whole := md5(s), leaves :=
+    array_to_string(list_transform(string_split(s, chr(10)), lambda p: array_to_string(list_transform(regexp_extract_all(p, '(?s).{{64,254}}?[.!?]\x20|.{{1,256}}'),
+      lambda b: substr(md5(b), 1, 12) || '-' || length(b)::VARCHAR), ',')), ';'))), lambda x: md5(x.whole || ':' || x.leaves) || ':' || x.leaves)"""
 _WRITTEN = r"""
   md5(array_to_string(list_transform({s}, lambda x: split_part(x, ':', 1)), '/')) || '.' || array_to_string({s}, '/')"""
 _LIKE = r"""
