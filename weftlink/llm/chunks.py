@@ -2,15 +2,14 @@
 
 A text's UTF-8 bytes run through a gear hash (h = 2h + G[byte]); a chunk ends where the 16 low bits of the
 hash are less than 2^16 / AVERAGE, so the end depends on the 16 bytes before it alone, and an insertion
-changes only the chunks that it touches. A chunk has MOST bytes at most. A chunk whose 64-bit digest stands
+changes only the chunks that it touches. A chunk has MOST bytes at most. A chunk whose 128-bit digest stands
 in more than one document is a copy; in the document with the least doc_id it stays. Neighbouring copies
-form a passage, and passages of at least REPEATED bytes are reported: several digests agree there, and
-shorter ones are chance.
+form a passage, and passages of at least REPEATED bytes are reported: shorter ones are common phrases.
 
 A digest is counted once for each document, by partial sums; digests of one document alone go before the
 chunks are joined back. No group is gathered.
 
-Defined results: a null or empty text has no chunks; equal texts are copies throughout; what repeats inside
+Defined results: a null or empty text has no chunks; a very long text is hashed whole, a block at a time; equal texts are copies throughout; what repeats inside
 one document alone is left to it; rows with the same doc_id are rows of their own, and chunks that they
 share stay in each; a null doc_id comes last; an empty table gives an empty result. Other columns are
 ignored.
@@ -24,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_128_digest
 
 from weftlink.llm import common
 
@@ -62,15 +61,15 @@ def cuts(data: bytes) -> np.ndarray:
 
 
 def chunks(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ends (bytes) and digests of the chunks."""
+    """Ends (bytes) and digests (two halves) of the chunks."""
     data = (text or "").encode("utf-8", "surrogatepass")
     ends = cuts(data)
     parts = map(data.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))
-    return ends, np.fromiter(map(xxh3_64_intdigest, parts), np.uint64, len(ends)).view(np.int64)
+    return ends, np.frombuffer(b"".join(map(xxh3_128_digest, parts)), ">i8").astype(np.int64).reshape(-1, 2)
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n (place), start, stop, digest, again (it stands in the document before) of each chunk."""
+    """row, doc_id, start, stop, d1, d2 (digest), again (it stands in the document before) of each chunk."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -79,15 +78,16 @@ def chunked(docs: DataFrame) -> DataFrame:
                 made = [chunks(t) for t in part["text"]]
                 size = np.array([len(e) for e, _ in made], int)
                 ends, digests = (np.concatenate([m[k] for m in made]) for k in (0, 1))
-                firsts = np.repeat(np.cumsum(size) - size, size)
-                place = np.arange(len(ends)) - firsts
+                first = np.zeros(len(ends), bool)
+                first[(np.cumsum(size) - size)[size > 0]] = True
                 out = part[["row", "doc_id"]].loc[part.index.repeat(size)].reset_index(drop=True)
-                out = out.assign(n=place.astype(np.int32), start=np.where(place, np.roll(ends, 1), 0).astype(np.int32), stop=ends.astype(np.int32), digest=digests)
-                yield out.assign(again=out.duplicated(["row", "digest"]))
+                start = np.where(first, 0, np.roll(ends, 1))
+                out = out.assign(start=start.astype(np.int32), stop=ends.astype(np.int32), d1=digests[:, 0], d2=digests[:, 1])
+                yield out.assign(again=out.duplicated(["row", "d1", "d2"]))
 
     # ids pass through as text, so that a null among them doesn't make them floating
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    out = rows.mapInPandas(cut, "row long, doc_id string, n int, start int, stop int, digest long, again boolean")
+    out = rows.mapInPandas(cut, "row long, doc_id string, start int, stop int, d1 long, d2 long, again boolean")
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -97,11 +97,11 @@ def repeated(docs: DataFrame, size: int = REPEATED) -> DataFrame:
     chunk; dropped: array of (start, stop) of its bytes that stay in an earlier document."""
     all_ = common.stored(chunked(docs), "chunks")
     last = F.lit((1 << 63) - 1)
-    by = all_.where("not again").groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", last)).alias("first_doc"))
+    by = all_.where("not again").groupBy("d1", "d2").agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", last)).alias("first_doc"))
     # as a table of its own, so that both sides of the join are plain exchanges and a hot digest can be split
-    met = all_.drop("again").join(common.stored(by.where("copies > 1").drop("copies"), "copied"), "digest")
+    met = all_.drop("again").join(common.stored(by.where("copies > 1").drop("copies"), "copied"), ["d1", "d2"])
     # a document's chunks come together here: they are as many as its own text has
-    spans = met.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("n", "start", "stop", "first_doc"))).alias("c"))
+    spans = met.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "first_doc"))).alias("c"))
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -110,17 +110,17 @@ def repeated(docs: DataFrame, size: int = REPEATED) -> DataFrame:
                 own = (1 << 63) - 1 if doc_id is None else int(doc_id)
                 runs: list[list] = []
                 for x in c:
-                    if runs and runs[-1][2] + 1 == x["n"]:
-                        runs[-1][1], runs[-1][2] = x["stop"], x["n"]
+                    if runs and runs[-1][1] == x["start"]:
+                        runs[-1][1] = x["stop"]
                     else:
-                        runs.append([x["start"], x["stop"], x["n"], x["first_doc"], []])
-                    dropped = runs[-1][4]
+                        runs.append([x["start"], x["stop"], x["first_doc"], []])
+                    dropped = runs[-1][3]
                     if x["first_doc"] != own:
                         if dropped and dropped[-1]["stop"] == x["start"]:
                             dropped[-1]["stop"] = x["stop"]
                         else:
                             dropped.append({"start": x["start"], "stop": x["stop"]})
-                out.append([{"start": r[0], "stop": r[1], "kept": not r[4], "first_doc": r[3], "dropped": r[4]} for r in runs if r[1] - r[0] >= size])
+                out.append([{"start": r[0], "stop": r[1], "kept": not r[3], "first_doc": r[2], "dropped": r[3]} for r in runs if r[1] - r[0] >= size])
             yield batch[["row", "doc_id"]].assign(passages=out)
 
     kind = "row long, doc_id string, passages array<struct<start:int,stop:int,kept:boolean,first_doc:long,dropped:array<struct<start:int,stop:int>>>>"
