@@ -22,7 +22,7 @@ SCHEMA = "doc_id long, text string, lang string, source string"
 def odd(spark):
     """Odd documents, with columns whose names operators use inside."""
     df = spark.createDataFrame(ODD, SCHEMA)
-    extra = {c: "1" for c in ("row", "size", "h", "fp", "key", "k", "score", "place", "start", "n", "bucket", "c", "spans", "base", "word", "component_id", "target")}
+    extra = {c: "1" for c in ("row", "size", "h", "fp", "key", "k", "score", "place", "start", "n", "bucket", "c", "spans", "base", "word", "component_id", "target", "whole", "upto", "upto_r", "s", "k__", "h__", "s__", "spans__", "said__", "said", "id", "hash", "sha", "a", "b", "i")}
     from pyspark.sql import functions as F
 
     return df.withColumns({c: F.lit(v) for c, v in extra.items()} | {"n_chars": F.length("text").cast("long")})

@@ -2,58 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftlink.sources.storage import dropped, shared_dir, stored
+
+__all__ = ["BROADCAST_ROWS", "WORD", "beside", "documents", "dropped", "fresh", "remainder", "shared_dir", "stored"]
+
 #: The word class of the contracts, for Java's and Python's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 #: As many rows at most are sent to every executor; larger tables are joined by a shuffle.
 BROADCAST_ROWS = 65_536
-_own: dict[str, str] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Only where that is unset (a local
-    test session), one is made."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or _own.get(sc.applicationId)
-    if not found:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = _own[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="weftlink-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: its lineage ends there, and a lost executor costs
-    only a new read. The table goes when the session ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/weftlink-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at.getParent())
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores after them until df has no column of that name (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
     return out
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes a stored table that nothing reads any more."""
-    sc = df.sparkSession.sparkContext
-    at = sc._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at.getParent(), True)
-
-
 def beside(df: DataFrame, rows: int) -> DataFrame:
     """df marked for broadcast if its counted rows are few; else Spark shuffles it."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

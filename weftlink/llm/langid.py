@@ -205,8 +205,9 @@ def predicted(model: dict | None, spark: SparkSession) -> Column:
 
 def recognised(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """docs without the rows whose text has no letter, or no language with so much probability."""
-    said = docs.withColumn("said__", predicted(train(docs), docs.sparkSession))
-    return said.where((F.col("said__.lang_pred") != UND) & (F.col("said__.score") >= least)).select(*docs.columns)
+    (name,) = common.fresh(docs, "said")
+    said = docs.withColumn(name, predicted(train(docs), docs.sparkSession))
+    return said.where((F.col(name)["lang_pred"] != UND) & (F.col(name)["score"] >= least)).select(*docs.columns)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,11 +190,12 @@ def written(spans: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with every span replaced by its kind in brackets, and n_chars to match, where it is there.
 
-    The table is read once for the spans and once for the texts; a row is found again by the hash of its
-    text and its id, so equal rows get equal results."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")), F.col("doc_id"))
-    spans = extracted(docs.select(F.struct("doc_id", key.alias("k")).alias("doc_id"), "text"))
-    spans = spans.select(F.col("doc_id.k").alias("k__"), F.array_sort(F.concat("base", "learned")).alias("spans__")).where(F.size("spans__") > 0).dropDuplicates(["k__"])
+    The table is read once for the spans and once for the texts; a row's spans are found again by 256 bits of hash of
+    its text. Equal texts get equal results. A null text stays null."""
+    key, spans_ = common.fresh(docs, "key", "spans")
+    digest = F.sha2("text", 256)
+    spans = extracted(docs.select(digest.alias("doc_id"), "text").where("text is not null"))
+    spans = spans.select(F.col("doc_id").alias(key), F.array_sort(F.concat("base", "learned")).alias(spans_)).where(F.size(spans_) > 0).dropDuplicates([key])
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
@@ -202,10 +203,10 @@ def redacted(docs: DataFrame) -> DataFrame:
         # a span that begins inside the last one is covered by it; what it has beyond goes, too
         return F.struct(F.greatest(s["at"], x["stop"]).alias("at"), F.concat(s["out"], F.when(x["start"] < s["at"], F.lit("")).otherwise(gap)).alias("out"))
 
-    clean = F.aggregate("spans__", state, step, lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.lit(2**31 - 1) - s["at"])))
-    out = docs.withColumn("k__", key).join(spans, "k__", "left").withColumn("text", F.when(F.col("spans__").isNull(), F.col("text")).otherwise(clean))
+    clean = F.aggregate(spans_, state, step, lambda s: F.concat(s["out"], F.substring("text", s["at"] + 1, F.lit(2**31 - 1) - s["at"])))
+    out = docs.withColumn(key, digest).join(spans, key, "left").withColumn("text", F.when(F.col(spans_).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans__").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(F.col(spans_).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)
 
 

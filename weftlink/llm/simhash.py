@@ -150,12 +150,13 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     and hash of the text. Only rows that are equal in doc_id and text are the same row."""
     classes = common.stored(classed(docs, radius), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")
-    kept = classes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("k__"), F.col("k.text_hash").alias("h__"))
-    same = F.col("doc_id").eqNullSafe(F.col("k__")) & (F.xxhash64("text") == F.col("h__"))
+    id_, hash_ = common.fresh(docs, "id", "hash")
+    kept = classes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(id_), F.col("k.text_hash").alias(hash_))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
     first = docs.join(kept, same, "left_semi")
     # the texts are grouped by row only if a row repeats at all
     again = classes.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
-    return first.withColumn("h__", F.xxhash64("text")).dropDuplicates(["doc_id", "h__"]).select(*docs.columns) if again else first
+    return first.withColumn(hash_, F.xxhash64("text")).dropDuplicates(["doc_id", hash_]).select(*docs.columns) if again else first
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
