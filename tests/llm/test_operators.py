@@ -358,6 +358,17 @@ def test_mix_of_few_sources(spark):
     assert all(n.get(r.doc_id, 0) == r.copies for r in got.itertuples())
 
 
+def test_mix_of_rows_without_ids(spark):
+    """Rows that share an id, or are equal throughout, are still taken one by one."""
+    rng = random.Random(61)
+    rows = [(None, "word", "en", "a")] * 1500 + [(7, " ".join("w" * rng.randint(1, 9) for _ in range(rng.randint(1, 5))), "en", "b") for _ in range(700)]
+    rows += [(None, f"x{i}", "en", "c") for i in range(200)]
+    got = mixing.copies(spark.createDataFrame(rows, SCHEMA).repartition(5)).toPandas()
+    by = got.assign(taken=got["size"] * got["copies"]).groupby("source_size").agg(target=("target", "first"), taken=("taken", "sum"), most=("size", "max"))
+    assert ((by.taken - by.target).abs() <= by.most / 2 + 1e-9).all() and len(by) == 3
+    assert got.copies.between(0, 2).all()
+
+
 # op7
 
 
