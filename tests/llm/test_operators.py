@@ -619,6 +619,21 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(not r["learned"] for i, r in got.items() if i != 900)
 
 
+def test_contexts_are_cut_by_place(spark):
+    """Neighbouring matches and long words don't change what stands before a place."""
+    long = "v" * 300
+    rows = [(1, f"pin 12 id77 and mail a@b.org c@d.org end {long} x9 {long} <e@f.org>, z")]
+    (r,) = pii.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text, base, words = rows[0][1], 0, rows[0][1].split()
+    for s in [*r["base"], *r["other"]]:
+        own = next(i for i, w in enumerate(words) if text[s["start"] : s["stop"]] in w)
+        l2, l1 = ["", "", *words][own : own + 2]
+        r1 = [*words, ""][own + 1]
+        assert s["patterns"] == [f"L {l1}", f"LL {l2} {l1}", f"LR {l1} _ {r1}"]
+        base += s["kind"] is not None
+    assert base == 3 and len(r["other"]) == 3
+
+
 def test_learned_instances_support_further_contexts(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))

@@ -11,7 +11,8 @@ instances, so where contexts say nothing about kinds nothing is added.
 Java's expressions are written with possessive quantifiers and begin where a run of characters begins (or
 where the last match ended), which finds the same leftmost matches in linear time and without recursion.
 
-Defined results: a null text counts as empty; rows with the same doc_id are rows of their own, null ids
+Defined results: a null text counts as empty; a very long text, token or word is read whole; of several kinds that
+contexts give to one token the most confident stays, then the last by name; rows with the same doc_id are rows of their own, null ids
 too; an empty table gives an empty result. Other columns are ignored.
 """
 
@@ -54,7 +55,7 @@ def _valid(kind: str):
     return valid
 
 
-SPANS = "array<struct<start:int,stop:int,value:string,before:string,after:string>>"
+SPANS = "array<struct<start:int,stop:int,value:string,before:array<string>,after:array<string>>>"
 
 
 def let(value: Column, body) -> Column:
@@ -67,48 +68,60 @@ def _sum(numbers: Column) -> Column:
 
 
 def occurrences(text: Column, pattern: str, needs: str) -> Column:
-    """Matches of the pattern with their place in code points, the 80 characters before and 40 after.
+    """Matches of the pattern with their place in code points, and the words before and after.
 
     The pieces between the matches and the matches themselves add up to the text, so running lengths give
-    the places. They are summed by blocks of about the square root of their number, and inside blocks."""
+    the places. They are summed by blocks of about the square root of their number, and inside blocks.
 
-    def zipped(pieces: Column, found: Column) -> Column:
-        pairs = F.zip_with(pieces, found, lambda p, v: F.struct(p.alias("piece"), v.alias("value")))
-        both = F.zip_with(pairs, F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), lambda x, n: F.struct(x["piece"].alias("piece"), x["value"].alias("value"), n.alias("next")))
-        return F.filter(both, lambda x: x["value"].isNotNull())
+    Words are runs without white space of the text itself, whatever matches; the run that a match is part of is neither
+    before nor after it. They come from the three last words of a piece, the three first ones, and the two matches
+    and pieces on either side."""
+    blank = r"[\x20\x09-\x0D]+"
+    words = lambda x: F.split(x, blank, -1)
+    last = lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - 3, F.lit(1)), F.lit(4)), " ")
+    first = lambda w: F.array_join(F.slice(w, 1, 4), " ")
 
-    def placed(all_: Column) -> Column:
-        lengths = F.transform(all_, lambda x: F.length(x["piece"]) + F.length(x["value"]))
-        return let(F.struct(all_.alias("z"), lengths.alias("n"), F.greatest(F.ceil(F.sqrt(F.size(all_))), F.lit(1)).cast("int").alias("k")), blocked)
+    def near(piece: Column) -> Column:
+        return let(words(piece), lambda w: F.struct(F.length(piece).alias("n"), last(w).alias("last"), first(w).alias("first")))
+
+    def placed(x: Column) -> Column:
+        lengths = F.transform(x["f"], lambda v, i: F.get(x["p"], i)["n"] + F.length(v))
+        return let(F.struct(x["p"].alias("p"), x["f"].alias("f"), lengths.alias("n"), F.greatest(F.ceil(F.sqrt(F.size(x["f"]))), F.lit(1)).cast("int").alias("k")), blocked)
 
     def blocked(b: Column) -> Column:
         sums = F.transform(F.sequence(F.lit(0), F.floor(F.size(b["n"]) / b["k"]).cast("int")), lambda i: _sum(F.slice(b["n"], i * b["k"] + 1, b["k"])))
         return let(sums, lambda s: let(F.transform(s, lambda _, i: _sum(F.slice(s, 1, i))), lambda starts: spans(b, starts)))
 
     def spans(b: Column, starts: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
+        piece = lambda i, side: F.coalesce(F.get(b["p"], i)[side], F.lit(""))
+        value = lambda i: F.coalesce(F.get(b["f"], i), F.lit(""))
+
+        def one(v: Column, i: Column) -> Column:
             block = F.floor(i / b["k"]).cast("int")
             stop = F.get(starts, block) + _sum(F.slice(b["n"], block * b["k"] + 1, i - block * b["k"] + 1))
+            before = words(F.concat(piece(i - 2, "last"), value(i - 2), piece(i - 1, "last"), value(i - 1), piece(i, "last")))
+            after = words(F.concat(piece(i + 1, "first"), value(i + 1), piece(i + 2, "first"), value(i + 2), piece(i + 3, "first")))
+            # what is next to the match is part of its own run of letters, or empty
             return F.struct(
-                (stop - F.length(x["value"])).alias("start"),
+                (stop - F.length(v)).alias("start"),
                 stop.alias("stop"),
-                x["value"].alias("value"),
-                F.right(x["piece"], F.lit(80)).alias("before"),
-                F.left(x["next"], F.lit(40)).alias("after"),
+                v.alias("value"),
+                F.filter(F.slice(before, 1, F.size(before) - 1), lambda w: w != "").alias("before"),
+                F.filter(F.slice(after, 2, F.size(after)), lambda w: w != "").alias("after"),
             )
 
-        return F.transform(b["z"], one)
+        return F.transform(b["f"], one)
 
-    split_up = let(F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f")), lambda x: let(zipped(x["p"], x["f"]), placed))
+    pieces = F.transform(F.split(text, pattern, -1), near)
+    split_up = let(F.struct(pieces.alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f")), placed)
     return F.when(text.rlike(needs), split_up).otherwise(F.array().cast(SPANS))
 
 
-def _words(pair: Column) -> dict[str, Column]:
+def _words(span: Column) -> dict[str, Column]:
     """Patterns: the word before, the two before, the words on either side; '' where the text begins or ends."""
-    before = F.filter(F.split(F.lower(pair["before"]), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    after = F.filter(F.split(F.lower(pair["after"]), r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    l1, l2 = F.coalesce(F.get(before, F.size(before) - 1), F.lit("")), F.coalesce(F.get(before, F.size(before) - 2), F.lit(""))
-    r1 = F.coalesce(F.get(after, F.lit(0)), F.lit(""))
+    before, after = span["before"], span["after"]
+    at = lambda words, i: F.lower(F.coalesce(F.get(words, i), F.lit("")))
+    l1, l2, r1 = at(before, F.size(before) - 1), at(before, F.size(before) - 2), at(after, F.lit(0))
     return {"L": l1, "LL": F.concat_ws(" ", l2, l1), "LR": F.concat_ws(" _ ", l1, r1)}
 
 
