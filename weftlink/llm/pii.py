@@ -37,6 +37,8 @@ _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 #: Tokens that may be identifiers: runs without white space that hold a digit. Longer ones are told apart by a digest.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 LONGEST = 64
+#: Characters on either side of a piece that mostly hold the words wanted there.
+NEAR = 64
 #: Distinct seeds that a pattern needs; its least confidence; an instance's; rounds of scoring.
 SEEDS, SURE, LIKELY, ROUNDS = 5, 0.8, 0.8, 3
 
@@ -82,7 +84,11 @@ def occurrences(text: Column, pattern: str, needs: str) -> Column:
     first = lambda w: F.array_join(F.slice(w, 1, 4), " ")
 
     def near(piece: Column) -> Column:
-        return let(words(piece), lambda w: F.struct(F.length(piece).alias("n"), last(w).alias("last"), first(w).alias("first")))
+        # a part at its end or start has four whole words but for very long ones; then the whole piece is split
+        def ends(part: Column, side) -> Column:
+            return let(words(part), lambda w: F.when((F.size(w) > 4) | (F.length(piece) <= NEAR), side(w)).otherwise(side(words(piece))))
+
+        return F.struct(F.length(piece).alias("n"), ends(F.right(piece, F.lit(NEAR)), last).alias("last"), ends(F.left(piece, F.lit(NEAR)), first).alias("first"))
 
     def placed(x: Column) -> Column:
         lengths = F.transform(x["f"], lambda v, i: F.get(x["p"], i)["n"] + F.length(v))
