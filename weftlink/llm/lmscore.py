@@ -37,9 +37,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_intdigest
 
 from weftlink.llm import common
+from weftlink.llm.words import mix, split_words
 
 #: Words that tasks hold, those of them that are clustered, words whose company tells, held-out remainder.
 HEAD, CLUSTERED, CONTEXTS, HELD, PARTS = 65_536, 8_192, 128, 2, 7
@@ -62,50 +62,16 @@ ROUNDS, STEP, SMOOTH, BLOCK = 3, 0.5, 4.0, 1 << 14
 #: Tokens that a task counts together, words that it keeps before it hands them on; numbers of a piece of a sum; tasks
 #: that are summed at a time; texts read together.
 COUNTED, KEPT, SLAB, FAN, TEXTS = 1 << 20, 1 << 20, 1 << 15, 64, 256
-#: Most bytes of a word whose key holds them; bits of a place in the table of the head.
-EXACT, BITS = 15, 18
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-
-
-def mix(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """64 bits of hash of the keys."""
-    with np.errstate(over="ignore"):
-        m = (lo.view(np.uint64) ^ (hi.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
-        m ^= m >> np.uint64(31)
-        m *= np.uint64(0x94D049BB133111EB)
-    return m ^ (m >> np.uint64(29))
+#: Bits of a place in the table of the head.
+BITS = 18
 
 
 def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the texts, A-Z in lower case: halves lo and hi of their keys, their numbers other (class by the last
-    two bytes, hash) outside of the head; and how many each text has."""
-    column = texts.fill_null("").cast(pa.large_binary())
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    n = int(offsets[-1] - offsets[0])
-    buf = np.full(n + 16, 32, np.uint8)
-    if n:
-        _FOLD.take(np.frombuffer(data, np.uint8, n, int(offsets[0])), out=buf[:n])
-    edges = offsets - offsets[0]
-    ok = ~_BLANK[buf[: n + 1]]
-    begin, end = ok[:n].copy(), ok[:n] & ~ok[1:]
-    begin[1:] &= ~ok[: max(n - 1, 0)]
-    inside = edges[(edges > 0) & (edges < n)]  # words end where a text does
-    begin[inside], end[inside - 1] = ok[inside], ok[inside - 1]
-    starts, stops = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    size = stops - starts
-    eight = np.ndarray((n + 9,), "<u8", buf.data, strides=(1,))  # the 8 bytes from each place on
-    lo = eight[starts] & _MASK[np.minimum(size, 8)]
-    hi = (eight[starts + 8] & _MASK[np.clip(size - 8, 0, 7)]) | (size.astype(np.uint64) << np.uint64(56))
-    for i in np.flatnonzero(size > EXACT).tolist():
-        h = xxh3_128_intdigest(buf[starts[i] : stops[i]])
-        lo[i], hi[i] = h & ((1 << 64) - 1), h >> 64 | 0xFF << 56
-    ending = buf[stops - 1].astype(np.int64) + np.where(size > 1, buf[stops - 2], 0).astype(np.int64) * 263
+    """Words of the texts: halves lo and hi of their keys, their numbers other (class by the last two bytes, hash)
+    outside of the head; and how many each text has."""
+    lo, hi, ending, sizes = split_words(texts)
     other = ending % BY_FORM * HASHED + (mix(lo, hi) >> np.uint64(64 - 12)).astype(np.int64)
-    return lo.view(np.int64), hi.view(np.int64), other.astype(np.int32), np.diff(np.searchsorted(starts, edges))
+    return lo, hi, other.astype(np.int32), sizes
 
 
 def _training(doc_id: str = "doc_id") -> Column:

@@ -15,6 +15,13 @@ is lost and no group's pairs are listed.
 The table holds distinct fingerprints; links between them go to connected components; each document then
 gets the component of its fingerprint. Exact copies never make links.
 
+resembling() finds near copies by the share of common shingles, COMPARED words each. Candidates come from fingerprints of
+192 bits over shingles of two words, where texts that share 0.8 of the longer shingles differ in about 8 % of the bits:
+six segments, Hamming balls of radius 1 on either side, so values within 2 bits meet. What meets is verified by the
+complete distance (APART) and then by the shingles themselves. A row meets the PAIRS rows before it under a value, and
+the first; crowded values are parted at random, and the first of each part meets the first of all. Candidates whose
+texts are in one group already aren't compared; so large groups cost about one comparison a text.
+
 Defined results: a text without words (or null) has fingerprint zero, which links like any other; a very long text
 is read whole, its shingles a block at a time; a null doc_id never is a component's id unless the component has no
 other; rows with the same doc_id are rows of their own, of which deduplicated() keeps one in each component; an empty
@@ -30,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +45,16 @@ from xxhash import xxh64_intdigest
 
 from weftlink.llm import common
 from weftlink.llm.components import components
+from weftlink.llm.words import mix, split_words
 
 #: Words of a shingle, seed of XXH64, differing bits of a link, shingles that are counted at a time.
 SHINGLE, SEED, RADIUS, BLOCK = 3, 42, 2, 16_384
 #: Bits of a segment, segments, distinct fingerprints that may meet under one value of a segment.
 WIDTH, SEGMENTS, HOT = 32, 2, 64
+#: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
+#: that may differ in all of it, earlier rows that a row meets under a value, rows of a crowded value that meet.
+COMPARED, LEAST, LONG, APART, PAIRS, CROWD = 5, 0.8, 6, 48, 16, 256
+_SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _hash = functools.partial(xxh64_intdigest, seed=SEED)
@@ -125,38 +138,173 @@ def links(prints: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     return light.unionByName(full_links(common.stored(met, "met"), radius)).distinct()
 
 
-def classed(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, text_hash, fp, component (the least fingerprint of its group), component_id of each row."""
-    # fingerprints are made once; what follows reads 24 bytes a document
-    prints = common.stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), simhash_udf("text").alias("fp")), "prints")
+def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fp, component_id of each row."""
+    # fingerprints are made once; what follows reads 16 bytes a document
+    prints = common.stored(docs.select("doc_id", simhash_udf("text").alias("fp")), "prints")
     distinct = common.stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     found = components(links(distinct.select("fp"), radius))
     of = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     ids = of.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = common.stored(of.where("component <> fp").select("fp", "component").join(ids, "component"), "linked")
     alone = of.where("component = fp").select("fp", "component").join(ids, "component")
-    columns = ["fp", "component", "component_id"]
-    classes = linked.select(*columns).unionByName(alone.select(*columns))
-    return prints.join(classes, "fp").select("doc_id", "text_hash", *columns)
-
-
-def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id of each row."""
-    return classed(docs, radius).select("doc_id", "fp", "component_id")
-
-
-def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs with one row of each group: that of the least doc_id (null ids last), then of the least fingerprint
-    and hash of the text. Only rows that are equal in doc_id and text are the same row."""
-    classes = common.stored(classed(docs, radius), "classes")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_hash")
+    classes = linked.select("fp", "component_id").unionByName(alone.select("fp", "component_id"))
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * _SEEDS[1]
+        x = (x ^ (x >> np.uint64(27))) * _SEEDS[2]
+    return x ^ (x >> np.uint64(31))
+
+
+def _joined(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of n successive words each; of all of them if there are fewer."""
+    n = min(n, len(h))
+    out = h[: len(h) - n + 1]
+    for k in range(1, n):
+        out = _stirred(out * _SEEDS[0] + h[k : len(h) - n + 1 + k])
+    return out
+
+
+def shingle_sets(texts: pa.Array, n: int = COMPARED) -> list[np.ndarray]:
+    """The hashes of the distinct shingles of each text."""
+    lo, hi, _, sizes = split_words(texts)
+    h, ends = mix(lo, hi), np.cumsum(sizes)
+    return [np.unique(_joined(h[e - k : e], n)) if k else h[:0] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
+
+
+def wide_prints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each text 128 bits of hash of all its words, and the fingerprint of LONG segments, 64 bits a column."""
+    lo, hi, _, sizes = split_words(texts)
+    h, some = mix(lo, hi), np.flatnonzero(sizes)
+    key, fp = np.zeros((len(sizes), 2), np.uint64), np.zeros((len(sizes), LONG // 2), np.uint64)
+    if not len(h):
+        return key, fp
+    first = (np.cumsum(sizes) - sizes)[some]
+    place = np.arange(len(h)) - np.repeat(first, sizes[some])
+    for k in range(2):
+        key[some, k] = np.add.reduceat(_stirred((h ^ _SEEDS[k]) + place.astype(np.uint64) * _SEEDS[2 - k]), first)
+    pair = h.copy()
+    pair[:-1] = _stirred(h[:-1] * _SEEDS[0] + h[1:])
+    last = np.cumsum(sizes)[some] - 1
+    keep = np.ones(len(h), bool)
+    keep[last[sizes[some] > 1]] = False  # a single word stands for itself
+    pair[last] = h[last]
+    n = np.add.reduceat(keep.astype(np.int64), first)
+    pair = pair[keep]
+    first = np.cumsum(n) - n
+    for k in range(LONG // 2):
+        bits = np.unpackbits(_stirred(pair ^ _SEEDS[k]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        set_ = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+        fp[some, k] = np.packbits(set_ * 2 > n[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+    return key, fp
+
+
+def _nodes(prints: DataFrame) -> DataFrame:
+    """node (a row), f0 to f2 of each distinct sequence of words."""
+    return prints.groupBy("k0", "k1").agg(F.min("row").alias("node"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(LONG // 2)])
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """a, b: nodes whose fingerprints are near in a segment and as a whole."""
+    half = lambda s: F.shiftright(f"f{s // 2}", WIDTH * (s % 2)).bitwiseAND(F.lit((1 << WIDTH) - 1))
+    place = F.array(*[half(s).bitwiseOR(F.lit(s << WIDTH).cast("long")) for s in range(LONG)])
+    own = nodes.select("node", F.explode(place).alias("own"))
+    around = lambda df, *more: df.select(*more, "own", F.explode(_ball(1)).alias("flip")).select(*more, F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
+    many = own.groupBy("own").count().where(F.col("count") > CROWD // 4)
+    crowds = around(many, "count").groupBy("key").agg(F.sum("count").alias("n")).where(F.col("n") > CROWD)
+    crowds = common.stored(crowds.select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")), "crowds")
+    n = crowds.count()
+    rows = around(own, "node").withColumn("part", F.lit(0))
+    if n:
+        rows = rows.drop("part").join(common.beside(crowds, n), "key", "left")
+        rows = rows.withColumn("part", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "key"), F.col("parts")))).drop("parts")
+    group = Window.partitionBy("key", "part").orderBy("node")
+    # most rows are alone under their value
+    rows = rows.withColumns({"one": F.lag("node").over(group), "next": F.lead("node").over(group)}).where("one is not null or next is not null").drop("one", "next")
+    before = F.array(F.first("node").over(group), *[F.lag("node", k).over(group) for k in range(1, PAIRS + 1)])
+    met = rows.select("key", "node", before.alias("before"))
+    pairs = met.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array_compact("before"))).alias("b"))
+    if n:
+        firsts = rows.join(common.beside(crowds.select("key"), n), "key", "left_semi").groupBy("key", "part").agg(F.min("node").alias("node"))
+        pairs = pairs.unionByName(firsts.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")))
+    pairs = common.stored(pairs.where("a <> b").distinct(), "pairs")
+    both = pairs
+    for side in "ab":
+        both = both.join(nodes.select(F.col("node").alias(side), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(LONG // 2)]), side)
+    apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(LONG // 2)), F.lit(0))
+    return both.where(apart <= APART).select("a", "b")
+
+
+def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id, digest (MD5 of the text), row, component of each row of docs (doc_id, text): groups of texts that are linked
+    by a share of at least `least` of common shingles of COMPARED words (of the distinct ones that either has)."""
+    columns = [f"k{k}" for k in range(2)] + [f"f{k}" for k in range(LONG // 2)]
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text")
+
+    def print_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                key, fp = wide_prints(part.column("text"))
+                made = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*key.T, *fp.T)]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("row", "doc_id", "digest")] + made, names=["row", "doc_id", "digest", *columns])
+
+    schema = "row long, doc_id long, digest string, " + ", ".join(f"{c} long" for c in columns)
+    prints = common.stored(rows.mapInArrow(print_, schema), "prints")
+    nodes = common.stored(_nodes(prints), "nodes")
+    edges = common.stored(_candidates(nodes), "candidates")
+
+    # shingles of the texts that are candidates; one row of each
+    wanted = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+    texts = prints.join(wanted, F.col("row") == F.col("node")).select("node", "digest")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                made = [s.view(np.int64) for s in shingle_sets(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    found = docs.select("text").join(texts, F.md5("text") == F.col("digest")).select("node", "text")
+    sets = common.stored(found.dropDuplicates(["node"]).mapInArrow(cut, "node long, shingles array<long>"), "shingles")
+
+    of = nodes.select("node", F.col("node").alias("component"))
+    links, turn = None, 1
+    while edges.limit(1).count():
+        # the more rounds, the more candidates of a text are compared at a time
+        order = Window.partitionBy("a").orderBy("b")
+        ranked = common.stored(edges.withColumn("k", F.row_number().over(order)), "ranked")
+        pick = ranked.where(F.col("k") <= turn).select("a", "b")
+        for side in "ab":
+            pick = pick.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
+        both = F.size(F.array_intersect("sa", "sb"))
+        same = pick.where(both >= least * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+        links = common.stored(same if links is None else same.unionByName(links), "links")
+        of = nodes.select("node").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        of = common.stored(of, "components")
+        rest = ranked.where(F.col("k") > turn).select("a", "b")
+        for side in "ab":
+            rest = rest.join(of.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side)
+        edges = common.stored(rest.where("ca <> cb").select("a", "b"), "candidates")
+        turn *= 2
+    return prints.join(nodes.select("k0", "k1", "node"), ["k0", "k1"]).join(of, "node").select("doc_id", "digest", "row", "component")
+
+
+def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """docs with one row of each group of resembling(): that of the least doc_id (null ids last), then of the first row with
+    the least digest. Rows that are equal in doc_id and text are one row; other columns don't count."""
+    classes = common.stored(resembling(docs, least), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     id_, hash_ = common.fresh(docs, "id", "hash")
-    kept = classes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(id_), F.col("k.text_hash").alias(hash_))
-    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
+    kept = classes.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(id_), F.col("k.digest").alias(hash_))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.md5("text").eqNullSafe(F.col(hash_))
     first = docs.join(kept, same, "left_semi")
     # the texts are grouped by row only if a row repeats at all
-    again = classes.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
-    return first.withColumn(hash_, F.xxhash64("text")).dropDuplicates(["doc_id", hash_]).select(*docs.columns) if again else first
+    again = classes.groupBy("doc_id", "digest").count().where("count > 1").limit(1).count()
+    return first.withColumn(hash_, F.md5("text")).dropDuplicates(["doc_id", hash_]).select(*docs.columns) if again else first
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
