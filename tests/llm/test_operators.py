@@ -381,7 +381,7 @@ def test_near_copies_by_shingles(spark):
     texts = dict(enumerate(texts))
     want = resembling(texts)
     got = {r["doc_id"]: r["component"] for r in simhash.resembling(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()}
-    assert len(grouping(want)) < 200 and len(grouping(got)) <= len(grouping(want)) + 2
+    assert len(grouping(want)) < 200 and len(grouping(got)) <= len(grouping(want)) + 5
     # what is linked is linked rightly; of the links nearly all are found
     assert all(want[i] == want[got_first] for i, got_first in ((i, min(j for j in got if got[j] == c)) for i, c in got.items()))
 

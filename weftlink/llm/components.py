@@ -23,9 +23,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # large star: every larger neighbour of a node hooks to the least of the node and its neighbours
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.join(_least(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # neither side goes to the driver, however few its rows look
+        large = both.hint("merge").join(_least(both).hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours hook to the least of these
-        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        small = large.hint("merge").join(large.groupBy("a").agg(F.min("b").alias("m")).hint("merge"), "a")
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).distinct()
         new = common.stored(small, "edges")
         # sums of hashes tell whether the set of edges is the same as before

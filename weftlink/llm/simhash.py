@@ -17,10 +17,11 @@ gets the component of its fingerprint. Exact copies never make links.
 
 resembling() finds near copies by the share of common shingles, COMPARED words each. Candidates come from fingerprints of
 192 bits over shingles of two words, where texts that share 0.8 of the longer shingles differ in about 8 % of the bits:
-six segments, Hamming balls of radius 1 on either side, so values within 2 bits meet. What meets is verified by the
-complete distance (APART) and then by the shingles themselves. A row meets the PAIRS rows before it under a value, and
-the first; crowded values are parted at random, and the first of each part meets the first of all. Candidates whose
-texts are in one group already aren't compared; so large groups cost about one comparison a text.
+six segments, looked up first as they are, then with Hamming balls of radius 1 on either side, so that values within 2
+bits meet. What meets is verified by the complete distance (APART) and then by the shingles themselves, and the links
+make groups. In the second step texts of one group don't meet again: under a value, one of them stands for it. Up to
+PAIRS such rows under a value all meet; of more, each meets the LEADERS first by a hash; crowded values are parted at random, and the first of each part meets the first of all. A text is under some 200
+values, so it meets several texts of a large group; a link is missed only if the text resembles none of these.
 
 Defined results: a text without words (or null) has fingerprint zero, which links like any other; a very long text
 is read whole, its shingles a block at a time; a null doc_id never is a component's id unless the component has no
@@ -52,8 +53,9 @@ SHINGLE, SEED, RADIUS, BLOCK = 3, 42, 2, 16_384
 #: Bits of a segment, segments, distinct fingerprints that may meet under one value of a segment.
 WIDTH, SEGMENTS, HOT = 32, 2, 64
 #: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
-#: that may differ in all of it, earlier rows that a row meets under a value, rows of a crowded value that meet.
-COMPARED, LEAST, LONG, APART, PAIRS, CROWD = 5, 0.8, 6, 48, 16, 256
+#: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
+#: part of a crowded value.
+COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 48, 8, 4, 256
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -207,35 +209,42 @@ def _nodes(prints: DataFrame) -> DataFrame:
     return prints.groupBy("k0", "k1").agg(F.min("row").alias("node"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(LONG // 2)])
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """a, b: nodes whose fingerprints are near in a segment and as a whole."""
+def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
+    """a, b: nodes of different components whose fingerprints are near in a segment and as a whole."""
     half = lambda s: F.shiftright(f"f{s // 2}", WIDTH * (s % 2)).bitwiseAND(F.lit((1 << WIDTH) - 1))
     place = F.array(*[half(s).bitwiseOR(F.lit(s << WIDTH).cast("long")) for s in range(LONG)])
-    own = nodes.select("node", F.explode(place).alias("own"))
-    around = lambda df, *more: df.select(*more, "own", F.explode(_ball(1)).alias("flip")).select(*more, F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
+    own = nodes.select("node", "component", F.explode(place).alias("own"))
+    around = lambda df, *more: df.select(*more, "own", F.explode(_ball(radius)).alias("flip")).select(*more, F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
     many = own.groupBy("own").count().where(F.col("count") > CROWD // 4)
     crowds = around(many, "count").groupBy("key").agg(F.sum("count").alias("n")).where(F.col("n") > CROWD)
     crowds = common.stored(crowds.select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")), "crowds")
     n = crowds.count()
-    rows = around(own, "node").withColumn("part", F.lit(0))
+    rows = around(own, "node", "component").withColumn("part", F.lit(0))
     if n:
         rows = rows.drop("part").join(common.beside(crowds, n), "key", "left")
         rows = rows.withColumn("part", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "key"), F.col("parts")))).drop("parts")
-    group = Window.partitionBy("key", "part").orderBy("node")
-    # most rows are alone under their value
-    rows = rows.withColumns({"one": F.lag("node").over(group), "next": F.lead("node").over(group)}).where("one is not null or next is not null").drop("one", "next")
-    before = F.array(F.first("node").over(group), *[F.lag("node", k).over(group) for k in range(1, PAIRS + 1)])
-    met = rows.select("key", "node", before.alias("before"))
-    pairs = met.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array_compact("before"))).alias("b"))
+        firsts = rows.join(common.beside(crowds.select("key"), n), "key", "left_semi").groupBy("key", "part").agg(F.min("node").alias("a"))
+        firsts = firsts.select("a", F.min("a").over(Window.partitionBy("key")).alias("b"))
+    group = Window.partitionBy("key", "part")
+    order = group.orderBy("component", F.xxhash64("node", "key"), "node")
+    # most rows are alone under their value, or among texts of their group; one of a group is enough, another by each value
+    rows = rows.withColumns({"least": F.min("component").over(group), "most": F.max("component").over(group)}).where("least <> most").drop("least", "most")
+    rows = rows.withColumn("before", F.lag("component").over(order)).where("before is null or before <> component").drop("before")
+    few = F.array(*[F.lag("node", k).over(order) for k in range(1, PAIRS)])
+    whole = group.orderBy(F.xxhash64("component"), "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.array(*[F.nth_value("node", k).over(whole) for k in range(1, LEADERS + 1)])
+    met = rows.select("node", F.when(F.count("*").over(group) <= PAIRS, few).otherwise(first).alias("others"))
+    pairs = met.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array_compact("others"))).alias("b"))
     if n:
-        firsts = rows.join(common.beside(crowds.select("key"), n), "key", "left_semi").groupBy("key", "part").agg(F.min("node").alias("node"))
-        pairs = pairs.unionByName(firsts.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key")).alias("b")))
-    pairs = common.stored(pairs.where("a <> b").distinct(), "pairs")
-    both = pairs
+        pairs = pairs.unionByName(firsts)
+    pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    both = common.stored(pairs.distinct(), "pairs")
+    prints = [f"f{k}" for k in range(LONG // 2)]
     for side in "ab":
-        both = both.join(nodes.select(F.col("node").alias(side), *[F.col(f"f{k}").alias(f"{side}{k}") for k in range(LONG // 2)]), side)
-    apart = sum((F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in range(LONG // 2)), F.lit(0))
-    return both.where(apart <= APART).select("a", "b")
+        own = nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", *prints)])
+        both = both.hint("merge").join(own.hint("merge"), F.col(side) == F.col(f"{side}_node"))
+    apart = sum((F.bit_count(F.col(f"a_{f}").bitwiseXOR(F.col(f"b_{f}"))) for f in prints), F.lit(0))
+    return both.where((apart <= APART) & (F.col("a_component") != F.col("b_component"))).select("a", "b")
 
 
 def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -254,12 +263,7 @@ def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
     schema = "row long, doc_id long, digest string, " + ", ".join(f"{c} long" for c in columns)
     prints = common.stored(rows.mapInArrow(print_, schema), "prints")
-    nodes = common.stored(_nodes(prints), "nodes")
-    edges = common.stored(_candidates(nodes), "candidates")
-
-    # shingles of the texts that are candidates; one row of each
-    wanted = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-    texts = prints.join(wanted, F.col("row") == F.col("node")).select("node", "digest")
+    nodes = common.stored(_nodes(prints).withColumn("component", F.col("node")), "nodes")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,29 +272,26 @@ def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
                 made = [s.view(np.int64) for s in shingle_sets(part.column("text"))]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    found = docs.select("text").join(texts, F.md5("text") == F.col("digest")).select("node", "text")
-    sets = common.stored(found.dropDuplicates(["node"]).mapInArrow(cut, "node long, shingles array<long>"), "shingles")
-
-    of = nodes.select("node", F.col("node").alias("component"))
-    links, turn = None, 1
-    while edges.limit(1).count():
-        # the more rounds, the more candidates of a text are compared at a time
-        order = Window.partitionBy("a").orderBy("b")
-        ranked = common.stored(edges.withColumn("k", F.row_number().over(order)), "ranked")
-        pick = ranked.where(F.col("k") <= turn).select("a", "b")
+    links = None
+    for radius in (0, 1):
+        edges = common.stored(_candidates(nodes, radius), "candidates")
+        if not edges.limit(1).count():
+            continue
+        # shingles of the texts that are candidates, each once
+        wanted = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+        wanted = prints.hint("merge").join(wanted.hint("merge"), F.col("row") == F.col("node")).select("node", F.col("digest").alias("own"))
+        texts = docs.select("text", F.md5("text").alias("digest")).hint("merge").join(wanted.hint("merge"), F.col("digest") == F.col("own"))
+        sets = common.stored(texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(cut, "node long, shingles array<long>"), "shingles")
         for side in "ab":
-            pick = pick.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
+            own = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}"))
+            edges = edges.hint("merge").join(own.hint("merge"), side)
         both = F.size(F.array_intersect("sa", "sb"))
-        same = pick.where(both >= least * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+        same = edges.where(both >= least * (F.size("sa") + F.size("sb") - both)).select("a", "b")
         links = common.stored(same if links is None else same.unionByName(links), "links")
-        of = nodes.select("node").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        of = common.stored(of, "components")
-        rest = ranked.where(F.col("k") > turn).select("a", "b")
-        for side in "ab":
-            rest = rest.join(of.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side)
-        edges = common.stored(rest.where("ca <> cb").select("a", "b"), "candidates")
-        turn *= 2
-    return prints.join(nodes.select("k0", "k1", "node"), ["k0", "k1"]).join(of, "node").select("doc_id", "digest", "row", "component")
+        found = components(links).withColumnRenamed("component", "c")
+        nodes = nodes.drop("component").hint("merge").join(found.hint("merge"), "node", "left").withColumn("component", F.coalesce("c", "node")).drop("c")
+        nodes = common.stored(nodes, "nodes")
+    return prints.hint("merge").join(nodes.select("k0", "k1", "component").hint("merge"), ["k0", "k1"]).select("doc_id", "digest", "row", "component")
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
