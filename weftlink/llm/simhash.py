@@ -55,7 +55,7 @@ WIDTH, SEGMENTS, HOT = 32, 2, 64
 #: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
 #: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
 #: part of a crowded value.
-COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 48, 8, 4, 256
+COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 30, 3, 2, 256
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -227,24 +227,30 @@ def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
         firsts = firsts.select("a", F.min("a").over(Window.partitionBy("key")).alias("b"))
     group = Window.partitionBy("key", "part")
     order = group.orderBy("component", F.xxhash64("node", "key"), "node")
-    # most rows are alone under their value, or among texts of their group; one of a group is enough, another by each value
+    # most rows are alone under their value, or among texts of their group
     rows = rows.withColumns({"least": F.min("component").over(group), "most": F.max("component").over(group)}).where("least <> most").drop("least", "most")
+    # only the others need whole fingerprints: what meets is verified there, before pairs go anywhere
+    prints = [f"f{k}" for k in range(LONG // 2)]
+    rows = rows.hint("merge").join(nodes.select("node", *prints).hint("merge"), "node").withColumn("own", F.struct("node", "component", *prints))
+    # one row of a group is enough, another under each value
     rows = rows.withColumn("before", F.lag("component").over(order)).where("before is null or before <> component").drop("before")
-    few = F.array(*[F.lag("node", k).over(order) for k in range(1, PAIRS)])
+    few = F.array(*[F.lag("own", k).over(order) for k in range(1, PAIRS)])
     whole = group.orderBy(F.xxhash64("component"), "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.array(*[F.nth_value("node", k).over(whole) for k in range(1, LEADERS + 1)])
-    met = rows.select("node", F.when(F.count("*").over(group) <= PAIRS, few).otherwise(first).alias("others"))
-    pairs = met.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array_compact("others"))).alias("b"))
+    first = F.array(*[F.nth_value("own", k).over(whole) for k in range(1, LEADERS + 1)])
+    met = rows.select("own", F.when(F.count("*").over(group) <= PAIRS, few).otherwise(first).alias("others"))
+
+    def near(a: Column, b: Column) -> Column:
+        apart = sum((F.bit_count(a[f].bitwiseXOR(b[f])) for f in prints), F.lit(0))
+        return b.isNotNull() & (a["component"] != b["component"]) & (apart <= APART)
+
+    pairs = met.select(F.col("own.node").alias("a"), F.explode(F.filter("others", lambda x: near(F.col("own"), x))).alias("x")).select("a", F.col("x.node").alias("b"))
     if n:
-        pairs = pairs.unionByName(firsts)
-    pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    both = common.stored(pairs.distinct(), "pairs")
-    prints = [f"f{k}" for k in range(LONG // 2)]
-    for side in "ab":
-        own = nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", *prints)])
-        both = both.hint("merge").join(own.hint("merge"), F.col(side) == F.col(f"{side}_node"))
-    apart = sum((F.bit_count(F.col(f"a_{f}").bitwiseXOR(F.col(f"b_{f}"))) for f in prints), F.lit(0))
-    return both.where((apart <= APART) & (F.col("a_component") != F.col("b_component"))).select("a", "b")
+        both = firsts
+        for side in "ab":
+            own = nodes.select(F.col("node").alias(side), F.struct("node", "component", *prints).alias(f"own_{side}"))
+            both = both.hint("merge").join(own.hint("merge"), side)
+        pairs = pairs.unionByName(both.where(near(F.col("own_a"), F.col("own_b"))).select("a", "b"))
+    return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
