@@ -10,7 +10,7 @@ but that fit covers all documents and whole texts.
 Learning uses text and lang of rows with a lang that crc32(doc_id as text) mod 4 doesn't hold out; a
 prediction uses the text alone.
 
-Defined results: a null text, or one without a letter, gets `und` with score 1; without any training rows
+Defined results: a very long text is counted whole, a block at a time; a null text, or one without a letter, gets `und` with score 1; without any training rows
 all documents get `und` with score 0; rows with the same doc_id are predicted each on its own; a null
 doc_id counts as the empty text for holding out; ties between languages go to the first by code point.
 An empty table gives an empty result. Other columns are ignored.

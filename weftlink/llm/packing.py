@@ -15,7 +15,8 @@ Parts of words are tokenized once and kept in a bounded cache: white space alway
 vocabulary, and is dropped, so a text's ids are those of its parts in turn. New parts are merged many at a
 time (bpe).
 
-Defined results: a null or empty text is the end id alone; rows with the same doc_id are packed each on
+Defined results: a null or empty text is the end id alone; a very long text is tokenized whole and cut; of examples
+that fit equally well the first that came is taken; rows with the same doc_id are packed each on
 its own; an empty table gives an empty result. Other columns are ignored.
 """
 
@@ -34,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from weftlink.llm import bpe, common
 
 #: Limits of a sequence, remainders that a task holds, parts of words that a worker keeps, longest of them.
-TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 600_000, 48
+TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 400_000, 48
 #: Characters of the texts whose new parts are tokenized together.
-GROUP = 1 << 21
+GROUP = 1 << 20
 VOCABULARY, END = "word_bpe_49k.json", 2
 
 
@@ -140,6 +141,7 @@ class Packer:
             piece, x = x.cut(whole)
             self._write([piece])
         if len(x.ids):
+            x.ids = x.ids.copy()  # the rest of a long document needn't stay
             self.waiting.append(x)
         if len(self.waiting) >= self.pool:
             self.flush(self.pool // 2)

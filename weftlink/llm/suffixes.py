@@ -12,7 +12,7 @@ contexts. What stands in two rows is so known for each WORDS words by themselves
 them stand elsewhere, or in the same row. No group is gathered and no pairs are made. Overlapping finds in
 a document merge to passages.
 
-Defined results: a null or empty text has no suffixes; of equal texts each document's whole text is a
+Defined results: a null or empty text has no suffixes; a very long text is read whole; of equal minimisers the last counts; of equal texts each document's whole text is a
 passage, if long enough; a passage that repeats in one document alone is left to it; rows that are equal in
 doc_id and text count as one; an empty table gives an empty result. Other columns are ignored.
 """
