@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from weftlink.llm import bpe, common
 
 #: Limits of a sequence, remainders that a task holds, parts of words that a worker keeps, longest of them.
-TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 400_000, 48
+TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 600_000, 48
 #: Characters of the texts whose new parts are tokenized together.
-GROUP = 1 << 20
+GROUP = 1 << 21
 VOCABULARY, END = "word_bpe_49k.json", 2
 
 

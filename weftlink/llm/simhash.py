@@ -55,7 +55,7 @@ WIDTH, SEGMENTS, HOT = 32, 2, 64
 #: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
 #: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
 #: part of a crowded value.
-COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 30, 3, 2, 256
+COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 32, 8, 4, 256
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
