@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -46,6 +47,30 @@ def test_oracle(spark, name):
     assert a == b
 
 
+def test_sketches_estimate_the_share_of_shingles():
+    rng = random.Random(21)
+    words = lambda n: [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+    off, pairs = [], []
+    for _ in range(150):
+        a = words(200)
+        b = list(a)
+        for i in rng.sample(range(200), 5):
+            b[i] = words(1)[0]
+        pairs += [" ".join(a), " ".join(b)]
+    texts = pa.array([*pairs, None, "", " \n", "a b", "A  b", "a c"])
+    got, sets = simhash.sketches(texts), simhash.shingle_sets(texts)
+    # each text's own, whatever stands beside it
+    assert all((simhash.sketches(texts.slice(i, 1))[0] == got[i]).all() for i in range(len(texts)))
+    places = lambda x: [[int(c) >> 4 * k & 15 for c in x for k in range(16)]]
+    unlike = lambda i, j: sum(x != y for x, y in zip(places(got[i])[0], places(got[j])[0], strict=True))
+    for i in range(0, len(pairs), 2):
+        share = len(np.intersect1d(sets[i], sets[i + 1])) / len(np.union1d(sets[i], sets[i + 1]))
+        off.append(unlike(i, i + 1) - 15 / 16 * (1 - share) * simhash.SKETCH)
+        assert share < 0.8 or unlike(i, i + 1) <= simhash.UNLIKE
+    assert abs(sum(off)) / len(off) < 2
+    assert unlike(-3, -2) == 0 and unlike(-3, -1) > 200 and not got[-6:-3].any()
+
+
 # op1, op6
 
 

@@ -56,6 +56,9 @@ WIDTH, SEGMENTS, HOT = 32, 2, 64
 #: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
 #: part of a crowded value.
 COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 32, 8, 4, 256
+#: Least hashes of a sketch (16 to a column), places in which the sketches of near copies may differ.
+SKETCH, UNLIKE = 256, 82
+_PRINTS, _SKETCH = [f"f{k}" for k in range(LONG // 2)], [f"s{k}" for k in range(SKETCH // 16)]
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -204,9 +207,44 @@ def wide_prints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return key, fp
 
 
+@functools.cache
+def _multipliers() -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.random.default_rng(SEED).integers(0, 1 << 64, (2, SKETCH), np.uint64)
+    return a, b | np.uint64(1)
+
+
+def sketches(texts: pa.Array) -> np.ndarray:
+    """For each text 4 bits of each of SKETCH least hashes of its shingles of COMPARED words, 16 to a column."""
+    lo, hi, _, sizes = split_words(texts)
+    h, some = mix(lo, hi), np.flatnonzero(sizes)
+    out = np.zeros((len(sizes), SKETCH // 16), np.uint64)
+    if not len(h):
+        return out
+    size = sizes[some]
+    ends, n = np.cumsum(size), np.maximum(size - COMPARED + 1, 1)
+    # all shingles but those over the end of a text; a shorter text is one shingle
+    all_ = _joined(np.append(h, np.zeros(COMPARED - 1, np.uint64)), COMPARED)
+    for i in np.flatnonzero(size < COMPARED).tolist():
+        all_[ends[i] - size[i]] = _joined(h[ends[i] - size[i] : ends[i]], COMPARED)[0]
+    first = np.cumsum(n) - n
+    all_ = all_[np.arange(n.sum()) + np.repeat(ends - size - first, n)]
+    for k, (a, b) in enumerate(zip(*_multipliers(), strict=True)):
+        least = np.minimum.reduceat((all_ ^ a) * b, first)
+        out[some, k // 16] |= ((least >> np.uint64(20)) & np.uint64(15)) << np.uint64(4 * (k % 16))
+    return out
+
+
+def _unlike(a: Column, b: Column) -> Column:
+    """How many of the 16 places of two columns of a sketch differ."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+
 def _nodes(prints: DataFrame) -> DataFrame:
-    """node (a row), f0 to f2 of each distinct sequence of words."""
-    return prints.groupBy("k0", "k1").agg(F.min("row").alias("node"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(LONG // 2)])
+    """node (a row), fingerprint and sketch of each distinct sequence of words."""
+    return prints.groupBy("k0", "k1").agg(F.min("row").alias("node"), *[F.first(c).alias(c) for c in (*_PRINTS, *_SKETCH)])
 
 
 def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
@@ -230,8 +268,8 @@ def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
     # most rows are alone under their value, or among texts of their group
     rows = rows.withColumns({"least": F.min("component").over(group), "most": F.max("component").over(group)}).where("least <> most").drop("least", "most")
     # only the others need whole fingerprints: what meets is verified there, before pairs go anywhere
-    prints = [f"f{k}" for k in range(LONG // 2)]
-    rows = rows.hint("merge").join(nodes.select("node", *prints).hint("merge"), "node").withColumn("own", F.struct("node", "component", *prints))
+    wide = [*_PRINTS, *_SKETCH]
+    rows = rows.hint("merge").join(nodes.select("node", *wide).hint("merge"), "node").withColumn("own", F.struct("node", "component", *wide))
     # one row of a group is enough, another under each value
     rows = rows.withColumn("before", F.lag("component").over(order)).where("before is null or before <> component").drop("before")
     few = F.array(*[F.lag("own", k).over(order) for k in range(1, PAIRS)])
@@ -240,14 +278,15 @@ def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
     met = rows.select("own", F.when(F.count("*").over(group) <= PAIRS, few).otherwise(first).alias("others"))
 
     def near(a: Column, b: Column) -> Column:
-        apart = sum((F.bit_count(a[f].bitwiseXOR(b[f])) for f in prints), F.lit(0))
-        return b.isNotNull() & (a["component"] != b["component"]) & (apart <= APART)
+        apart = sum((F.bit_count(a[f].bitwiseXOR(b[f])) for f in _PRINTS), F.lit(0))
+        unlike = sum((_unlike(a[s], b[s]) for s in _SKETCH), F.lit(0))
+        return b.isNotNull() & (a["component"] != b["component"]) & (apart <= APART) & (unlike <= UNLIKE)
 
     pairs = met.select(F.col("own.node").alias("a"), F.explode(F.filter("others", lambda x: near(F.col("own"), x))).alias("x")).select("a", F.col("x.node").alias("b"))
     if n:
         both = firsts
         for side in "ab":
-            own = nodes.select(F.col("node").alias(side), F.struct("node", "component", *prints).alias(f"own_{side}"))
+            own = nodes.select(F.col("node").alias(side), F.struct("node", "component", *wide).alias(f"own_{side}"))
             both = both.hint("merge").join(own.hint("merge"), side)
         pairs = pairs.unionByName(both.where(near(F.col("own_a"), F.col("own_b"))).select("a", "b"))
     return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -256,7 +295,7 @@ def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
 def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, digest (MD5 of the text), row, component of each row of docs (doc_id, text): groups of texts that are linked
     by a share of at least `least` of common shingles of COMPARED words (of the distinct ones that either has)."""
-    columns = [f"k{k}" for k in range(2)] + [f"f{k}" for k in range(LONG // 2)]
+    columns = ["k0", "k1", *_PRINTS, *_SKETCH]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text")
 
     def print_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +303,7 @@ def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 key, fp = wide_prints(part.column("text"))
-                made = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*key.T, *fp.T)]
+                made = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*key.T, *fp.T, *sketches(part.column("text")).T)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("row", "doc_id", "digest")] + made, names=["row", "doc_id", "digest", *columns])
 
     schema = "row long, doc_id long, digest string, " + ", ".join(f"{c} long" for c in columns)
