@@ -55,7 +55,7 @@ WIDTH, SEGMENTS, HOT = 32, 2, 64
 #: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
 #: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
 #: part of a crowded value.
-COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 32, 8, 4, 256
+COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 32, 16, 8, 256
 #: Least hashes of a sketch (16 to a column), places in which the sketches of near copies may differ.
 SKETCH, UNLIKE = 256, 82
 _PRINTS, _SKETCH = [f"f{k}" for k in range(LONG // 2)], [f"s{k}" for k in range(SKETCH // 16)]
