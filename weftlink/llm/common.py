@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftlink.sources.storage import dropped, shared_dir, stored
 
-__all__ = ["BROADCAST_ROWS", "WORD", "beside", "documents", "dropped", "fresh", "remainder", "shared_dir", "stored"]
+__all__ = ["BROADCAST_ROWS", "WORD", "beside", "documents", "dropped", "fresh", "remainder", "shared_dir", "stored", "trim"]
 
 #: The word class of the contracts, for Java's and Python's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,3 +41,12 @@ def beside(df: DataFrame, rows: int) -> DataFrame:
 def remainder(doc_id, parts: int):
     """crc32 of the doc_id as text, modulo parts; a null doc_id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(parts))
+
+
+def trim() -> None:
+    """Gives memory that a worker no longer uses back to the system, where the C library can do so."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

@@ -23,12 +23,13 @@ its own; an empty table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,8 +37,10 @@ from weftlink.llm import bpe, common
 
 #: Limits of a sequence, remainders that a task holds, parts of words that a worker keeps, longest of them.
 TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 600_000, 48
+#: Parts that stay when there are too many or a task ends: those that came first, which as a rule are the frequent ones.
+STAY = 100_000
 #: Characters of the texts whose new parts are tokenized together.
-GROUP = 1 << 21
+GROUP = 1 << 19
 VOCABULARY, END = "word_bpe_49k.json", 2
 
 
@@ -70,29 +73,35 @@ class Words:
         rest = list(parts.difference(own))
         return self.merges.encode(own) | dict(zip(rest, self._encode([p.removeprefix("\0") for p in rest]), strict=True))
 
-    def several(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """ids of each text. New parts of a group of texts are met together."""
+    def several(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """ids of each text. New parts of a group of texts are met together; no more texts than a group are held."""
         if not self.merges:
-            for i in range(0, len(texts), 64):
-                yield from (np.frombuffer(b, "<u4") for b in self._encode(texts[i : i + 64]))
+            for some in itertools.batched(texts, 64):
+                yield from (np.frombuffer(b, "<u4") for b in self._encode(list(some)))
             return
-        at = 0
-        while at < len(texts):
-            group, size = [], 0
-            while at < len(texts) and (not group or size + len(texts[at]) <= GROUP):
-                group.append(bpe.parted(texts[at]))
-                size += len(texts[at])
-                at += 1
+        group, size = [], 0
+        for text in texts:
+            if group and size + len(text) > GROUP:
+                yield from self._met(group)
+                group, size = [], 0
+            group.append(bpe.parted(text))
+            size += len(text)
+        yield from self._met(group)
+
+    def shrink(self) -> None:
+        self.kept = dict(itertools.islice(self.kept.items(), STAY))
+
+    def _met(self, group: list[list[str]]) -> Iterator[np.ndarray]:
+        new = set().union(*group).difference(self.kept)
+        if len(self.kept) + len(new) > CACHE:
+            self.shrink()
             new = set().union(*group).difference(self.kept)
-            if len(self.kept) + len(new) > CACHE:
-                self.kept.clear()
-                new = set().union(*group)
-            self.kept.update(self._of(new))
-            get = self.kept.__getitem__
-            for parts in group:
-                yield np.frombuffer(b"".join(map(get, parts)), "<u4")
-            for p in [p for p in new if len(p) > LONGEST]:
-                del self.kept[p]
+        self.kept.update(self._of(new))
+        get = self.kept.__getitem__
+        for parts in group:
+            yield np.frombuffer(b"".join(map(get, parts)), "<u4")
+        for p in [p for p in new if len(p) > LONGEST]:
+            del self.kept[p]
 
 
 @functools.cache
@@ -204,23 +213,29 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 def packed(docs: DataFrame, vocabulary: str = VOCABULARY, limits: tuple[int, int, int] = (TOKENS, SEGMENTS, LOSS), pool: int = POOL) -> DataFrame:
     """A row for each piece of each document of docs (doc_id, text)."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = _words(vocabulary), Packer(limits, pool=pool, first=TaskContext.get().partitionId() << 33)
 
-        def ready() -> pd.DataFrame:
+        def ready() -> pa.RecordBatch:
             rows, packer.out = packer.out, []
-            return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
+            made = zip(*rows, strict=True) if rows else [()] * len(COLUMNS)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in made], names=COLUMNS)
 
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"], words.several([t or "" for t in batch["text"]]), strict=True):
+            # texts leave the batch a few at a time, so that a worker never holds them twice
+            parts = (batch.column("text").slice(at, 64).to_pylist() for at in range(0, batch.num_rows, 64))
+            texts = (t or "" for part in parts for t in part)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.several(texts), strict=True):
                 ids = np.append(ids, np.uint32(END))
-                packer.add(Example(None if pd.isna(doc_id) else int(doc_id), ids, len(ids)))
+                packer.add(Example(None if doc_id is None else int(doc_id), ids, len(ids)))
                 if len(packer.out) >= 8192:
                     yield ready()
         packer.flush()
         yield ready()
+        words.shrink()  # the worker waits for other tasks, of this stage or another
+        common.trim()
 
-    return docs.select("doc_id", "text").mapInPandas(pack, ", ".join(f"{c} long" for c in COLUMNS))
+    return docs.select("doc_id", "text").mapInArrow(pack, ", ".join(f"{c} long" for c in COLUMNS))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
