@@ -38,7 +38,7 @@ from weftlink.llm import bpe, common
 #: Limits of a sequence, remainders that a task holds, parts of words that a worker keeps, longest of them.
 TOKENS, SEGMENTS, LOSS, POOL, CACHE, LONGEST = 4096, 512, 4096, 1024, 600_000, 48
 #: Parts that stay when there are too many or a task ends: those that came first, which as a rule are the frequent ones.
-STAY = 100_000
+STAY = 300_000
 #: Characters of the texts whose new parts are tokenized together.
 GROUP = 1 << 19
 VOCABULARY, END = "word_bpe_49k.json", 2
