@@ -411,6 +411,37 @@ def test_near_copies_by_shingles(spark):
     assert all(want[i] == want[got_first] for i, got_first in ((i, min(j for j in got if got[j] == c)) for i, c in got.items()))
 
 
+def test_large_groups_of_distant_copies_are_linked_whole(spark):
+    """Most pairs of the group share less than 0.8, so its links are few and any text may have the only one."""
+    rng = random.Random(82)
+    centre = " ".join(f"w{rng.getrandbits(30):x}" for _ in range(60))
+    texts = dict(enumerate(edited(rng, centre, 0.03) for _ in range(500)))
+    want = resembling(texts)
+    got = {r["doc_id"]: r["component"] for r in simhash.resembling(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)).collect()}
+    assert 100 < len(grouping(want)) < 400 and grouping(got) == grouping(want)
+
+
+def test_every_text_under_a_key_is_linked(spark):
+    """However many share a key: one link each, none dropped, no pairs."""
+    rows = [(i, [7, 100 + i]) for i in range(2000)] + [(5000, [100 + 3]), (6000, [1]), (6001, [])]
+    links = {(r["a"], r["b"]) for r in simhash.loose_links(spark.createDataFrame(rows, "node long, keys array<long>")).collect()}
+    assert links == {(i, 0) for i in range(1, 2000)} | {(5000, 3)}
+
+
+def test_classes_of_sets_by_loops():
+    rng = random.Random(83)
+    for n in (1, 2, 60, 300):
+        sets = [np.array(sorted(rng.sample(range(24), rng.randint(15, 20))), np.uint64) for _ in range(n)] + [np.zeros(0, np.uint64)]
+        want = list(range(len(sets)))
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = sorted((want[i], want[j]))
+                    want = [a if c == b else c for c in want]
+        assert simhash.near_classes(sets).tolist() == want
+
+
 def test_wide_prints_by_loops():
     import pyarrow as pa
 

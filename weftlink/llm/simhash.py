@@ -15,13 +15,12 @@ is lost and no group's pairs are listed.
 The table holds distinct fingerprints; links between them go to connected components; each document then
 gets the component of its fingerprint. Exact copies never make links.
 
-resembling() finds near copies by the share of common shingles, COMPARED words each. Candidates come from fingerprints of
-192 bits over shingles of two words, where texts that share 0.8 of the longer shingles differ in about 8 % of the bits:
-six segments, looked up first as they are, then with Hamming balls of radius 1 on either side, so that values within 2
-bits meet. What meets is verified by the complete distance (APART) and then by the shingles themselves, and the links
-make groups. In the second step texts of one group don't meet again: under a value, one of them stands for it. Up to
-PAIRS such rows under a value all meet; of more, each meets the LEADERS first by a hash; crowded values are parted at random, and the first of each part meets the first of all. A text is under some 200
-values, so it meets several texts of a large group; a link is missed only if the text resembles none of these.
+resembling() finds near copies by the share of common shingles, COMPARED words each. Candidates come from BANDS keys of
+each text, each over DEEP of its SKETCH least hashes of shingles, 64 bits each: texts that share 0.8 of the shingles share
+a key but for about one pair in 10^4, unrelated ones hardly ever. Under a key each text is linked to the least, so no pairs are listed,
+nothing is capped, and whoever shares a key ends in one loose group. The texts of a loose group come together once, and
+there their shingles are compared exactly: those not reached yet with each that was. So within a loose group no link is lost,
+however large the group is and however few of its pairs are near. A loose group's shingles are in one task's memory.
 
 Defined results: a text without words (or null) has fingerprint zero, which links like any other; a very long text
 is read whole, its shingles a block at a time; a null doc_id never is a component's id unless the component has no
@@ -52,13 +51,12 @@ from weftlink.llm.words import mix, split_words
 SHINGLE, SEED, RADIUS, BLOCK = 3, 42, 2, 16_384
 #: Bits of a segment, segments, distinct fingerprints that may meet under one value of a segment.
 WIDTH, SEGMENTS, HOT = 32, 2, 64
-#: Near copies: words of the shingles that are compared, least share of common ones; segments of a candidate's fingerprint, bits
-#: that may differ in all of it, rows that all meet under a value, those that each meets where there are more, rows of a
-#: part of a crowded value.
-COMPARED, LEAST, LONG, APART, PAIRS, LEADERS, CROWD = 5, 0.8, 6, 32, 8, 4, 256
+#: Near copies: words of the shingles that are compared, least share of common ones; segments of 32 bits of a wide fingerprint.
+COMPARED, LEAST, LONG = 5, 0.8, 6
 #: Least hashes of a sketch (16 to a column), places in which the sketches of near copies may differ.
 SKETCH, UNLIKE = 256, 82
-_PRINTS, _SKETCH = [f"f{k}" for k in range(LONG // 2)], [f"s{k}" for k in range(SKETCH // 16)]
+#: Keys of a text, least hashes in each.
+BANDS, DEEP = 64, 8
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _WORDS = re.compile(common.WORD.encode())
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -180,17 +178,24 @@ def shingle_sets(texts: pa.Array, n: int = COMPARED) -> list[np.ndarray]:
     return [np.unique(_joined(h[e - k : e], n)) if k else h[:0] for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
+def sequence_keys(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text 128 bits of hash of all its words, whose hashes are h."""
+    key, some = np.zeros((len(sizes), 2), np.uint64), np.flatnonzero(sizes)
+    if len(h):
+        first = (np.cumsum(sizes) - sizes)[some]
+        place = np.arange(len(h)) - np.repeat(first, sizes[some])
+        for k in range(2):
+            key[some, k] = np.add.reduceat(_stirred((h ^ _SEEDS[k]) + place.astype(np.uint64) * _SEEDS[2 - k]), first)
+    return key
+
+
 def wide_prints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """For each text 128 bits of hash of all its words, and the fingerprint of LONG segments, 64 bits a column."""
     lo, hi, _, sizes = split_words(texts)
     h, some = mix(lo, hi), np.flatnonzero(sizes)
-    key, fp = np.zeros((len(sizes), 2), np.uint64), np.zeros((len(sizes), LONG // 2), np.uint64)
+    key, fp = sequence_keys(h, sizes), np.zeros((len(sizes), LONG // 2), np.uint64)
     if not len(h):
         return key, fp
-    first = (np.cumsum(sizes) - sizes)[some]
-    place = np.arange(len(h)) - np.repeat(first, sizes[some])
-    for k in range(2):
-        key[some, k] = np.add.reduceat(_stirred((h ^ _SEEDS[k]) + place.astype(np.uint64) * _SEEDS[2 - k]), first)
     pair = h.copy()
     pair[:-1] = _stirred(h[:-1] * _SEEDS[0] + h[1:])
     last = np.cumsum(sizes)[some] - 1
@@ -213,14 +218,16 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return a, b | np.uint64(1)
 
 
-def sketches(texts: pa.Array) -> np.ndarray:
-    """For each text 4 bits of each of SKETCH least hashes of its shingles of COMPARED words, 16 to a column."""
-    lo, hi, _, sizes = split_words(texts)
-    h, some = mix(lo, hi), np.flatnonzero(sizes)
-    out = np.zeros((len(sizes), SKETCH // 16), np.uint64)
-    if not len(h):
-        return out
-    size = sizes[some]
+@functools.cache
+def _bands() -> np.ndarray:
+    """The least hashes of each band: each hash is in as many bands as any other."""
+    rng = np.random.default_rng(SEED + 1)
+    return np.concatenate([rng.permutation(SKETCH) for _ in range(BANDS * DEEP // SKETCH)]).reshape(BANDS, DEEP)
+
+
+def _least_hashes(h: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each of SKETCH hash functions the least hash of a shingle of COMPARED words of each text that has words."""
+    size = sizes[np.flatnonzero(sizes)]
     ends, n = np.cumsum(size), np.maximum(size - COMPARED + 1, 1)
     # all shingles but those over the end of a text; a shorter text is one shingle
     all_ = _joined(np.append(h, np.zeros(COMPARED - 1, np.uint64)), COMPARED)
@@ -228,115 +235,136 @@ def sketches(texts: pa.Array) -> np.ndarray:
         all_[ends[i] - size[i]] = _joined(h[ends[i] - size[i] : ends[i]], COMPARED)[0]
     first = np.cumsum(n) - n
     all_ = all_[np.arange(n.sum()) + np.repeat(ends - size - first, n)]
-    for k, (a, b) in enumerate(zip(*_multipliers(), strict=True)):
-        least = np.minimum.reduceat((all_ ^ a) * b, first)
-        out[some, k // 16] |= ((least >> np.uint64(20)) & np.uint64(15)) << np.uint64(4 * (k % 16))
-    return out
+    for a, b in zip(*_multipliers(), strict=True):
+        yield np.minimum.reduceat((all_ ^ a) * b, first)
 
 
-def _unlike(a: Column, b: Column) -> Column:
-    """How many of the 16 places of two columns of a sketch differ."""
-    x = a.bitwiseXOR(b)
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+def sketches(texts: pa.Array) -> np.ndarray:
+    """For each text 4 bits of each of SKETCH least hashes of its shingles of COMPARED words, 16 to a column."""
+    lo, hi, _, sizes = split_words(texts)
+    h, some = mix(lo, hi), np.flatnonzero(sizes)
+    out = np.zeros((len(sizes), SKETCH // 16), np.uint64)
+    if len(h):
+        for k, least in enumerate(_least_hashes(h, sizes)):
+            out[some, k // 16] |= ((least >> np.uint64(20)) & np.uint64(15)) << np.uint64(4 * (k % 16))
+    return out
 
 
-def _nodes(prints: DataFrame) -> DataFrame:
-    """node (a row), fingerprint and sketch of each distinct sequence of words."""
-    return prints.groupBy("k0", "k1").agg(F.min("row").alias("node"), *[F.first(c).alias(c) for c in (*_PRINTS, *_SKETCH)])
+def banded(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each text 128 bits of hash of all its words, and its keys; none for a text without words."""
+    lo, hi, _, sizes = split_words(texts)
+    h = mix(lo, hi)
+    keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sizes)
+    if len(h):
+        least = np.stack(list(_least_hashes(h, sizes)), axis=1)
+        made = np.repeat(np.arange(BANDS, dtype=np.uint64)[None], len(least), axis=0)
+        for k in range(DEEP):
+            made = _stirred(made * _SEEDS[0] + least[:, _bands()[:, k]])
+        for i, row in zip(np.flatnonzero(sizes).tolist(), made, strict=True):
+            keys[i] = row
+    return sequence_keys(h, sizes), keys
+
+
+def near_classes(sets: list[np.ndarray], least: float = LEAST) -> np.ndarray:
+    """For each set (of distinct numbers) the first that is reached from it by links between sets that share at least
+    `least` of the numbers that either has. Sets that were reached aren't compared again."""
+    sizes = np.array([len(x) for x in sets])
+    of = np.repeat(np.arange(len(sets)), sizes)
+    _, which = np.unique(np.concatenate(sets), return_inverse=True)
+    own, at = which, np.cumsum(sizes) - sizes
+    out, left = np.full(len(sets), -1), len(sets)
+
+    def listed(keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # the sets that have each number: only those that weren't reached
+        order = np.argsort(own[keep], kind="stable")
+        count = np.bincount(own[keep], minlength=int(which.max(initial=-1)) + 1)
+        return of[keep][order], np.cumsum(count) - count, count
+
+    having, begin, count = listed(np.arange(len(own)))
+    listed_for = left
+    for i in range(len(sets)):
+        if out[i] >= 0:
+            continue
+        out[i], reached = i, [i]
+        left -= 1
+        while reached and left:
+            if left < listed_for // 2:
+                having, begin, count = listed(np.flatnonzero(out[of] < 0))
+                listed_for = left
+            x = reached.pop()
+            mine = own[at[x] : at[x] + sizes[x]]
+            n = count[mine]
+            if not n.sum():
+                continue
+            shift = np.repeat(begin[mine] - (np.cumsum(n) - n), n)
+            both = np.bincount(having[np.arange(len(shift)) + shift], minlength=len(sets))
+            new = np.flatnonzero((out < 0) & (both > 0) & (both >= least * (sizes + sizes[x] - both)))
+            out[new] = i
+            left -= len(new)
+            reached += new.tolist()
+    return out
 
 
-def _candidates(nodes: DataFrame, radius: int) -> DataFrame:
-    """a, b: nodes of different components whose fingerprints are near in a segment and as a whole."""
-    half = lambda s: F.shiftright(f"f{s // 2}", WIDTH * (s % 2)).bitwiseAND(F.lit((1 << WIDTH) - 1))
-    place = F.array(*[half(s).bitwiseOR(F.lit(s << WIDTH).cast("long")) for s in range(LONG)])
-    own = nodes.select("node", "component", F.explode(place).alias("own"))
-    around = lambda df, *more: df.select(*more, "own", F.explode(_ball(radius)).alias("flip")).select(*more, F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
-    many = own.groupBy("own").count().where(F.col("count") > CROWD // 4)
-    crowds = around(many, "count").groupBy("key").agg(F.sum("count").alias("n")).where(F.col("n") > CROWD)
-    crowds = common.stored(crowds.select("key", F.ceil(F.col("n") / CROWD).cast("int").alias("parts")), "crowds")
-    n = crowds.count()
-    rows = around(own, "node", "component").withColumn("part", F.lit(0))
-    if n:
-        rows = rows.drop("part").join(common.beside(crowds, n), "key", "left")
-        rows = rows.withColumn("part", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "key"), F.col("parts")))).drop("parts")
-        firsts = rows.join(common.beside(crowds.select("key"), n), "key", "left_semi").groupBy("key", "part").agg(F.min("node").alias("a"))
-        firsts = firsts.select("a", F.min("a").over(Window.partitionBy("key")).alias("b"))
-    group = Window.partitionBy("key", "part")
-    order = group.orderBy("component", F.xxhash64("node", "key"), "node")
-    # most rows are alone under their value, or among texts of their group
-    rows = rows.withColumns({"least": F.min("component").over(group), "most": F.max("component").over(group)}).where("least <> most").drop("least", "most")
-    # only the others need whole fingerprints: what meets is verified there, before pairs go anywhere
-    wide = [*_PRINTS, *_SKETCH]
-    rows = rows.hint("merge").join(nodes.select("node", *wide).hint("merge"), "node").withColumn("own", F.struct("node", "component", *wide))
-    # one row of a group is enough, another under each value
-    rows = rows.withColumn("before", F.lag("component").over(order)).where("before is null or before <> component").drop("before")
-    few = F.array(*[F.lag("own", k).over(order) for k in range(1, PAIRS)])
-    whole = group.orderBy(F.xxhash64("component"), "node").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.array(*[F.nth_value("own", k).over(whole) for k in range(1, LEADERS + 1)])
-    met = rows.select("own", F.when(F.count("*").over(group) <= PAIRS, few).otherwise(first).alias("others"))
-
-    def near(a: Column, b: Column) -> Column:
-        apart = sum((F.bit_count(a[f].bitwiseXOR(b[f])) for f in _PRINTS), F.lit(0))
-        unlike = sum((_unlike(a[s], b[s]) for s in _SKETCH), F.lit(0))
-        return b.isNotNull() & (a["component"] != b["component"]) & (apart <= APART) & (unlike <= UNLIKE)
-
-    pairs = met.select(F.col("own.node").alias("a"), F.explode(F.filter("others", lambda x: near(F.col("own"), x))).alias("x")).select("a", F.col("x.node").alias("b"))
-    if n:
-        both = firsts
-        for side in "ab":
-            own = nodes.select(F.col("node").alias(side), F.struct("node", "component", *wide).alias(f"own_{side}"))
-            both = both.hint("merge").join(own.hint("merge"), side)
-        pairs = pairs.unionByName(both.where(near(F.col("own_a"), F.col("own_b"))).select("a", "b"))
-    return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def loose_links(nodes: DataFrame) -> DataFrame:
+    """a, b: each node of (node, keys) with the least of those that share a key."""
+    rows = nodes.select("node", F.explode("keys").alias("key"))
+    met = rows.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("key").orderBy("node")).alias("b"))
+    return met.where("a <> b").distinct()
 
 
 def resembling(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, digest (MD5 of the text), row, component of each row of docs (doc_id, text): groups of texts that are linked
     by a share of at least `least` of common shingles of COMPARED words (of the distinct ones that either has)."""
-    columns = ["k0", "k1", *_PRINTS, *_SKETCH]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text")
 
     def print_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                key, fp = wide_prints(part.column("text"))
-                made = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*key.T, *fp.T, *sketches(part.column("text")).T)]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("row", "doc_id", "digest")] + made, names=["row", "doc_id", "digest", *columns])
+                key, keys = banded(part.column("text"))
+                made = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in key.T]
+                made.append(pa.array([x.view(np.int64) for x in keys], pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("row", "doc_id", "digest")] + made, names=["row", "doc_id", "digest", "k0", "k1", "keys"])
+
+    prints = common.stored(rows.mapInArrow(print_, "row long, doc_id long, digest string, k0 long, k1 long, keys array<long>"), "prints")
+    own = prints.groupBy("k0", "k1").agg(F.min(F.struct("row", "digest")).alias("own"))
+    own = common.stored(own.select("k0", "k1", F.col("own.row").alias("node"), F.col("own.digest").alias("own")), "nodes")
+    ends = own.select("node").hint("merge")
+    nodes = prints.select(F.col("row").alias("node"), "keys").hint("merge").join(ends, "node", "left_semi")
+    loose = components(loose_links(nodes))
+    loose = loose.unionByName(loose.select(F.col("component").alias("node"), "component").distinct())  # the least of each, too
+    # one text of each sequence of words, beside the others of its loose group
+    wanted = common.stored(own.select("node", "own").hint("merge").join(loose.hint("merge"), "node"), "wanted")
+    texts = docs.select("text", F.md5("text").alias("digest"))
+    texts = texts.join(common.beside(wanted, wanted.count()), F.col("digest") == F.col("own")).groupBy("component", "node").agg(F.first("text").alias("text"))
+    texts = texts.repartition("component").sortWithinPartitions("component")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, ids, sets = None, [], []
+
+        def classes() -> pa.RecordBatch:
+            found = near_classes(sets, least)
+            least_ids = {}
+            for i, c in zip(ids, found.tolist(), strict=True):
+                least_ids[c] = min(least_ids.get(c, i), i)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([least_ids[c] for c in found.tolist()], pa.int64())], names=["node", "component"])
 
-    schema = "row long, doc_id long, digest string, " + ", ".join(f"{c} long" for c in columns)
-    prints = common.stored(rows.mapInArrow(print_, schema), "prints")
-    nodes = common.stored(_nodes(prints).withColumn("component", F.col("node")), "nodes")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = [s.view(np.int64) for s in shingle_sets(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(made, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    links = None
-    for radius in (0, 1):
-        edges = common.stored(_candidates(nodes, radius), "candidates")
-        if not edges.limit(1).count():
-            continue
-        # shingles of the texts that are candidates, each once
-        wanted = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
-        wanted = prints.hint("merge").join(wanted.hint("merge"), F.col("row") == F.col("node")).select("node", F.col("digest").alias("own"))
-        texts = docs.select("text", F.md5("text").alias("digest")).hint("merge").join(wanted.hint("merge"), F.col("digest") == F.col("own"))
-        sets = common.stored(texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(cut, "node long, shingles array<long>"), "shingles")
-        for side in "ab":
-            own = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}"))
-            edges = edges.hint("merge").join(own.hint("merge"), side)
-        both = F.size(F.array_intersect("sa", "sb"))
-        same = edges.where(both >= least * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-        links = common.stored(same if links is None else same.unionByName(links), "links")
-        found = components(links).withColumnRenamed("component", "c")
-        nodes = nodes.drop("component").hint("merge").join(found.hint("merge"), "node", "left").withColumn("component", F.coalesce("c", "node")).drop("c")
-        nodes = common.stored(nodes, "nodes")
-    return prints.hint("merge").join(nodes.select("k0", "k1", "component").hint("merge"), ["k0", "k1"]).select("doc_id", "digest", "row", "component")
+                for c, i, x in zip(part.column("component").to_pylist(), part.column("node").to_pylist(), shingle_sets(part.column("text")), strict=True):
+                    if c != group and ids:
+                        yield classes()
+                        ids, sets = [], []
+                    group = c
+                    ids.append(i)
+                    sets.append(x)
+        if ids:
+            yield classes()
+
+    found = common.stored(texts.mapInArrow(compare, "node long, component long"), "classes")
+    of = own.select("k0", "k1", "node").hint("merge").join(found.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return prints.select("doc_id", "digest", "row", "k0", "k1").hint("merge").join(of.select("k0", "k1", "component").hint("merge"), ["k0", "k1"]).select("doc_id", "digest", "row", "component")
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
