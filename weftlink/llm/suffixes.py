@@ -23,7 +23,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -71,6 +71,14 @@ def minimisers(h: np.ndarray) -> np.ndarray:
     return np.unique(owners(h))
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time: what is made of these is all that a task holds beside a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    common.trim()
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """row (a hash of doc_id and text), doc_id, text."""
     return docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
@@ -79,20 +87,19 @@ def keyed(docs: DataFrame) -> DataFrame:
 def suffixes(rows: DataFrame) -> DataFrame:
     """row, place, key (hash of the first words) of each kept suffix."""
 
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part, made = batch[at : at + 256], []
-                for text in part["text"]:
-                    h = hashed(text)
-                    first, places = spans_hash(h, MATCH), minimisers(h)
-                    places = places[places < len(first)]
-                    made.append((places, first[places].view(np.int64)))
-                place, key = (np.concatenate([m[k] for m in made]) for k in range(2))
-                row = np.repeat(part["row"].to_numpy(), [len(m[0]) for m in made])
-                yield pd.DataFrame({"row": row, "place": place.astype(np.int32), "key": key})
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(batches):
+            made = []
+            for text in part.column("text").to_pylist():
+                h = hashed(text)
+                first, places = spans_hash(h, MATCH), minimisers(h)
+                places = places[places < len(first)]
+                made.append((places, first[places].view(np.int64)))
+            place, key = (np.concatenate([m[k] for m in made]) for k in range(2))
+            row = np.repeat(part.column("row").to_numpy(), [len(m[0]) for m in made])
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(place.astype(np.int32)), pa.array(key)], names=["row", "place", "key"])
 
-    return rows.select("row", "text").mapInPandas(keep, "row long, place int, key long")
+    return rows.select("row", "text").mapInArrow(keep, "row long, place int, key long")
 
 
 def shared_places(kept: DataFrame) -> DataFrame:
@@ -108,10 +115,12 @@ def contexts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """row, doc_id, first, context, hashes: the successive `words` words that belong to a wanted place (from
     place `first` of the text on), by their hashes, and a hash of all of these."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row, doc_id, text, places in zip(batch["row"], batch["doc_id"], batch["text"], batch["places"], strict=True):
+    kind = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("context", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(batches):
+            out: list[list] = [[] for _ in kind]
+            for row, doc_id, text, places in zip(*(part.column(c).to_pylist() for c in ("row", "doc_id", "text", "places")), strict=True):
                 h = hashed(text)
                 each = spans_hash(h, words)
                 of = owners(h)[: len(each)]
@@ -119,12 +128,12 @@ def contexts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 stops = np.append(starts[1:], len(of))
                 for a, b in zip(starts[mine := np.isin(of[starts], places)].tolist(), stops[mine].tolist(), strict=True):
                     hashes = each[a:b].view(np.int64)
-                    out.append((row, doc_id, a, np.uint64(xxh3_64_intdigest(hashes.tobytes())).view(np.int64), hashes))
-            yield pd.DataFrame(out, columns=["row", "doc_id", "first", "context", "hashes"])
+                    for column, x in zip(out, (row, doc_id, a, int(np.uint64(xxh3_64_intdigest(hashes.tobytes())).view(np.int64)), hashes), strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, kind, strict=True)], schema=kind)
 
-    texts = rows.withColumn("doc_id", F.col("doc_id").cast("string")).join(wanted, "row")
-    out = texts.mapInPandas(read, "row long, doc_id string, first long, context long, hashes array<long>")
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = rows.withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted, "row")
+    return texts.mapInArrow(read, "row long, doc_id long, first long, context long, hashes array<long>")
 
 
 def repeated(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -144,24 +153,26 @@ def repeated(docs: DataFrame, words: int = WORDS) -> DataFrame:
     # a document's contexts come together here: they are part of its own text
     by = found.groupBy("row", "doc_id").agg(F.collect_set(F.struct("first", "at")).alias("e"))
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    spans_of = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("others", pa.list_(pa.int64()))]))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(batches):
             out = []
-            for doc_id, e in zip(batch["doc_id"], batch["e"], strict=True):
+            for doc_id, e in zip(part.column("doc_id").to_pylist(), part.column("e"), strict=True):
                 spans: list[list] = []
-                own = {None, None if doc_id is None else int(doc_id)}
-                for start, others in sorted(((x["first"] + y["i"], (y["least"], y["greatest"])) for x in e for y in x["at"]), key=lambda f: f[0]):
+                own = {None, doc_id}
+                # a document's words become Python's objects one document at a time
+                for start, others in sorted(((x["first"] + y["i"], (y["least"], y["greatest"])) for x in e.as_py() for y in x["at"]), key=lambda f: f[0]):
                     if spans and start <= spans[-1][1]:
                         spans[-1][1] = start + words
                         spans[-1][2].update(others)
                     else:
                         spans.append([start, start + words, set(others)])
                 out.append([{"start": a, "stop": b, "others": sorted(others - own)} for a, b, others in spans])
-            yield batch[["row", "doc_id"]].assign(passages=out)
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array(out, spans_of)], names=["row", "doc_id", "passages"])
 
-    kind = "row long, doc_id string, passages array<struct<start:long,stop:long,others:array<long>>>"
-    out = by.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(merge, kind)
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+    kind = "row long, doc_id long, passages array<struct<start:long,stop:long,others:array<long>>>"
+    return by.mapInArrow(merge, kind)
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
