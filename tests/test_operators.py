@@ -156,3 +156,22 @@ def test_record_store(spark):
     got = tables.lookup(spark.table("records_test"), spark.createDataFrame([("a",), ("q",)], "entity_id string")).collect()
     assert [(r["entity_id"], r["suffix"], r["postal_code"]) for r in got] == [("a", None, None)]
     spark.sql("drop table records_test")
+
+
+def test_nearest_of_all_over_many_cells(spark, monkeypatch):
+    """Ties, zeros and rows of both sides, in cells of a few rows each: what one cell finds, and plain loops."""
+    import numpy as np
+
+    from weftlink.operators import blocking
+
+    monkeypatch.setattr(blocking, "EMBEDDING_BLOCK", 30)
+    rng = np.random.default_rng(5)
+    rows = [(f"e{i:03d}", [float(x) for x in rng.integers(-1, 2, 6)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "entity_id string, embedding array<float>")
+    got = {}
+    for r in blocking.embedding_pairs(df.limit(40), df, 5).collect():
+        got.setdefault(r["sid"], {})[r["rank"]] = (r["cid"], None if r["sim"] is None else round(r["sim"], 6))
+    for sid, u in rows[:40]:
+        if any(u):
+            sims = sorted((-round(float(np.dot(u, v) / np.linalg.norm(u) / np.linalg.norm(v)), 9), c) for c, v in rows if c != sid and any(v))
+            assert [got[sid][k] for k in range(1, 6)] == [(c, round(-s, 6)) for s, c in sims[:5]]
